@@ -141,19 +141,19 @@ def copy_table(
     bookmark: int | None,
     key: str,
     parts: Parts | None = None,
-    reference_bounds: bool = False,
+    positive_keys_only: bool = False,
     max_errors: int = 1,
 ) -> tuple[Loaded, list[str]]:
     """Copy one table whole (no bookmark), or replace its target above the bookmark.
 
     Decimals become doubles, and columns of unmapped types become text, which the second result lists.
-    The target is distributed and sorted by the key. ``reference_bounds`` makes a whole copy leave out
-    keys below 1 and rows without a key, as a bookmark of 0 would.
+    The target is distributed and sorted by the key. ``positive_keys_only`` makes a whole copy leave
+    out keys below 1 and rows without a key, as a bookmark of 0 would.
     """
     if not source.exists(name):
         raise ValueError(f"Table {name} does not exist in source database")
     frame = source.read(name, parts)
-    if bookmark is not None or reference_bounds:
+    if bookmark is not None or positive_keys_only:
         frame = scans.after_key(frame, key, bookmark or 0)
     frame = conform.decimals_to_double(frame)
     columns = conform.target_schema(frame, other_width=types.STRING_WIDTH)

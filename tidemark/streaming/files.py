@@ -14,8 +14,8 @@ def load_new_files(
     checkpoint: str,
     file_format: str = "json",
     files_per_batch: int | None = None,
-) -> int:
-    """Append the records of files not seen before to ``table`` and return how many there were.
+) -> None:
+    """Append the records of files not seen before to ``table``.
 
     The checkpoint folder remembers the files, and the table's own commit log makes each batch count
     once, so a run that is lost half-way is repeated without duplicates. ``files_per_batch`` bounds the
@@ -32,4 +32,3 @@ def load_new_files(
         .toTable(table)
     )
     query.awaitTermination()
-    return sum(progress.numInputRows for progress in query.recentProgress)
