@@ -11,10 +11,12 @@ from tidemark.operators.partitions import Parts, spread
 
 # Fixed value: tables above this many rows are spread by key before a write.
 LARGE_ROWS = 1_000_000
+# The same decision where only a size estimate is known.
 LARGE_BYTES = 128 << 20
 
-_BUCKET_BYTES = 1 << 30
+_BUCKET_BYTES = 128 << 20
 _MAX_BUCKETS = 65_536
+_SMALL_BUCKETS, _SMALL_BUCKET_BYTES = 8, 1 << 20
 
 
 @dataclass(frozen=True)
@@ -44,11 +46,15 @@ def estimated_bytes(frame: DataFrame) -> int | None:
 
 
 def bucket_count(frame: DataFrame) -> int:
-    """About one bucket per GiB of input; the shuffle setting where the size is not known."""
+    """One bucket per 128 MiB of input, a few for smaller input so that cores share the work.
+
+    Where the size is not known, the session's shuffle setting decides.
+    """
     size = estimated_bytes(frame)
     if size is None:
         return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return min(max(-(-size // _BUCKET_BYTES), 1), _MAX_BUCKETS)
+    few = min(size // _SMALL_BUCKET_BYTES, _SMALL_BUCKETS)
+    return min(max(size // _BUCKET_BYTES, few, 1), _MAX_BUCKETS)
 
 
 def analyzed_rows(spark: SparkSession, table: str) -> int | None:

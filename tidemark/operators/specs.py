@@ -6,6 +6,8 @@ strings is one narrow pass.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,7 +110,7 @@ def bookmark_entries(frame: DataFrame, text: str) -> DataFrame:
     )
 
 
-def last_bookmarks(entries: DataFrame, order: list[str] = ["pos"], within: list[str] = []) -> DataFrame:
+def last_bookmarks(entries: DataFrame, order: Sequence[str] = ("pos",), within: Sequence[str] = ()) -> DataFrame:
     """One row per valid name: its last bookmark in ``order``, at the place of its first mention.
 
     Repeated names are reduced before the shuffle, so a name may be repeated without limit.
@@ -123,7 +125,7 @@ def last_bookmarks(entries: DataFrame, order: list[str] = ["pos"], within: list[
 
 
 def with_partition_config(
-    specs: DataFrame, configs: DataFrame, name: str = "name", order: list[str] = ["pos"]
+    specs: DataFrame, configs: DataFrame, name: str = "name", order: Sequence[str] = ("pos",)
 ) -> DataFrame:
     """Each spec row with the first matching partition config, or the defaults.
 

@@ -243,9 +243,7 @@ class Target:
 
     def _segment_tables(self) -> list[str]:
         own = re.compile(re.escape(self.table.lower()) + r"__[0-9a-f]{12}")
-        tables = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)}").where(
-            F.col("tableName").startswith(self.table.lower() + "__")
-        )
+        tables = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE {sql_string(self.table + '__*')}")
         return [row.tableName for row in tables.collect() if own.fullmatch(row.tableName)]
 
     def _create(self, columns: Columns, layout: Layout) -> str:

@@ -8,12 +8,10 @@ sees counts.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions import types
 from tidemark.operators import conform, scans, specs
@@ -52,21 +50,26 @@ def _text_table(spark: SparkSession, text: str) -> DataFrame:
 
 def table_specs(spark: SparkSession, text: str, keys: list[str], kinds: list[str] | None = None) -> list[Row]:
     """The entries of a job's table list, one row per table, in order."""
-    return specs.keyed_specs(_text_table(spark, text), "spec", keys, kinds).orderBy("pos").collect()
+    rows = specs.keyed_specs(_text_table(spark, text), "spec", keys, kinds).collect()
+    return sorted(rows, key=lambda row: row.pos)
 
 
-def bookmark_list(spark: SparkSession, text: str) -> list[Row]:
-    """The (name, bookmark) pairs of a copy job, or an error that names every invalid entry."""
-    entries = specs.bookmark_entries(_text_table(spark, text), "spec")
-    invalid = [row.entry for row in entries.where(~F.col("valid")).orderBy("pos").collect()]
+def bookmark_list(spark: SparkSession, text: str) -> dict[str, int]:
+    """The bookmark of each table of a copy job (the last one given counts), in order of first mention.
+
+    If any entry is invalid, the error names all that are.
+    """
+    entries = specs.bookmark_entries(_text_table(spark, text), "spec").collect()
+    entries.sort(key=lambda row: row.pos)
+    invalid = [row.entry for row in entries if not row.valid]
     if invalid:
         raise InvalidTables(f"invalid tables: {', '.join(repr(entry) for entry in invalid)}")
-    return specs.last_bookmarks(entries).orderBy("pos").collect()
+    return {row.name: row.bookmark for row in entries}
 
 
 def partition_configs(spark: SparkSession, names: list[str], text: str) -> dict[str, Parts]:
     """How each table is split for reading; tables without a config of more than one part are left out."""
-    if not names:
+    if not names or not text.strip():
         return {}
     wanted = spark.createDataFrame([(name,) for name in names], "name string")
     keys = ["table_name", "hashfield", "hashpartitions"]
@@ -123,9 +126,9 @@ def update_tables(
         frame = scans.scan(source.read(spec.name, split), spec.columns, key, spec.start_id)
         frame = conform.unsigned_longs_to_long(frame)
         target = Target(spark, database, spec.name)
-        options = {"parts": split, "max_errors": max_errors}
-        if split is not None and split.field not in frame.columns:
-            options["parts"] = None
+        # A database is read in parts already; files are read as they lie, so their rows are spread here.
+        spread = split if isinstance(source, CatalogSource) and split and split.field in frame.columns else None
+        options = {"parts": spread, "max_errors": max_errors}
         if spec.start_id and spec.start_id > 0:
             loaded = target.replace_tail(frame, key, spec.start_id, delete_op, **options)
         else:
@@ -153,6 +156,8 @@ def copy_table(
     if not source.exists(name):
         raise ValueError(f"Table {name} does not exist in source database")
     frame = source.read(name, parts)
+    if key not in frame.columns:
+        raise ValueError(f"Table {name} has no column {key}")
     if bookmark is not None or positive_keys_only:
         frame = scans.after_key(frame, key, bookmark or 0)
     frame = conform.decimals_to_double(frame)
@@ -184,10 +189,10 @@ def copy_tables(
     """
     spark = source.spark
     listed = bookmark_list(spark, tables)
-    parts = partition_configs(spark, [entry.name for entry in listed], partitions)
+    parts = partition_configs(spark, list(listed), partitions)
 
-    def attempt(entry: Row) -> tuple:
-        name, bookmark = entry.name, entry.bookmark or None
+    def attempt(name: str) -> tuple:
+        bookmark = listed[name] or None
         try:
             key = _key_of(keys, name)
             if resume and bookmark is None:
@@ -199,7 +204,8 @@ def copy_tables(
             log.error("copying %s failed: %s", name, error)
             return (name, "failed", None, None, None, [], str(error))
 
-    report = _each(spark, attempt, listed, max_concurrent)
+    with ThreadPoolExecutor(max(1, min(max_concurrent, len(listed)))) as pool:
+        report = list(pool.map(inheritable_thread_target(spark)(attempt), listed))
     frame = spark.createDataFrame(report, REPORT)
     failed = [row[0] for row in report if row[1] == "failed"]
     if failed and raise_on_failure:
@@ -207,11 +213,6 @@ def copy_tables(
     return frame
 
 
-def _each(spark: SparkSession, work: Callable[[Row], tuple], items: list[Row], threads: int) -> list[tuple]:
-    with ThreadPoolExecutor(max(1, min(threads, len(items)))) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), items))
-
-
 def append_then_select(
     whole: DataFrame,
     selected_from: DataFrame,
