@@ -423,6 +423,23 @@ def replace_tail_keeps_null_keys(spark, sf_dir):
     return target.read()
 
 
+@query(
+    "SELECT l_orderkey, nullif(l_linenumber, 1) AS k FROM lineitem WHERE NOT coalesce(nullif(l_linenumber, 1) > 4, false)"
+)
+def surviving_rows(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.expr("nullif(l_linenumber, 1)").alias("k"))
+    return lines.where(scans.survives("k", 4))
+
+
+@query(
+    f"SELECT * FROM ({_OLD_ORDERS}) WHERE o_orderkey <= {START} "
+    f"UNION ALL SELECT * FROM ({_NEW_ORDERS}) WHERE o_orderkey > {START}"
+)
+def replaced_tail(spark, sf_dir):
+    tail = scans.after_key(_new_orders(spark, sf_dir), "o_orderkey", START)
+    return scans.replaced_tail(_old_orders(spark, sf_dir), tail, "o_orderkey", START)
+
+
 @query("SELECT c_custkey, c_name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
 def append_aligned(spark, sf_dir):
     target = new_target(spark, "parties")

@@ -53,6 +53,13 @@ def survives(key: str, start: int, delete_op: str = ">") -> Column:
     return kept | column(key).isNull()
 
 
+def replaced_tail(
+    old: DataFrame, new: DataFrame, key: str, start: int, delete_op: str = ">"
+) -> DataFrame:
+    """``old`` without its tail, and all of ``new``. Nothing is de-duplicated and nothing shuffled."""
+    return old.where(survives(key, start, delete_op)).unionByName(new)
+
+
 def kept_op(delete_op: str) -> str:
     if delete_op not in _DELETED_TO_KEPT:
         raise ValueError(f"a tail delete uses > or >=, not {delete_op!r}")

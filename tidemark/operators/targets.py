@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, replace
 from functools import reduce
 
@@ -54,6 +55,7 @@ class Segment:
     table: str
     low: int | None = None
     keep: tuple[str, int] | None = None
+    rows: int | None = None
 
     def cut(self, keep: tuple[str, int]) -> Segment | None:
         """This segment below a bound, None if nothing of it is left."""
@@ -77,7 +79,7 @@ class State:
     @staticmethod
     def load(text: str) -> State:
         raw = json.loads(text)
-        segments = tuple(Segment(s["table"], s["low"], s["keep"] and tuple(s["keep"])) for s in raw["segments"])
+        segments = tuple(Segment(s["table"], s["low"], s["keep"] and tuple(s["keep"]), s["rows"]) for s in raw["segments"])
         layout = Layout(tuple(raw["layout"]["sort_key"]), raw["layout"]["dist_key"], raw["layout"]["buckets"])
         return State(segments, raw["key"], raw["high"], layout)
 
@@ -135,7 +137,7 @@ class Target:
         self._drop_foreign()
         segment = self._create(columns, layout)
         self._analyze(segment, [])
-        self._publish(State((Segment(segment),), layout=layout))
+        self._publish(State((Segment(segment, rows=0),), layout=layout))
 
     def replace_rows(self, frame: DataFrame, key: str | None = None, **options) -> Loaded:
         """All rows replaced; columns and layout of the table stay."""
@@ -168,10 +170,12 @@ class Target:
             raise ValueError(f"{self.name} is bounded by {state.key}, not by {key}")
         if key not in (name for name, _ in self.columns()):
             raise ValueError(f"{self.name} has no column {key}")
+        if key not in frame.columns:
+            raise ValueError(f"the rows for {self.name} have no column {key}, so no later load could replace them")
         segment, loaded = self._write(frame, self.columns(), state.layout, key, **options)
         kept = [old.cut((kept_op(delete_op), start)) for old in state.segments]
         high = start if loaded.high_key is None else max(start, loaded.high_key)
-        self._publish(replace(state, segments=_joined(kept, segment, loaded), key=key, high=high))
+        self._publish(replace(state, segments=_joined(kept, segment), key=key, high=high))
         return replace(loaded, high_key=high)
 
     def append(
@@ -193,7 +197,7 @@ class Target:
         self._publish(
             replace(
                 state,
-                segments=_joined(state.segments, segment, loaded),
+                segments=_joined(state.segments, segment),
                 high=max(highs) if state.key and highs else state.high,
             )
         )
@@ -291,7 +295,8 @@ class Target:
             raise
         low, high = (_whole(seen["low"]), _whole(seen["high"])) if ranged else (None, None)
         keyed = ranged and seen["n_keys"] == seen["n_rows"]
-        return Segment(segment, low if keyed else None), Loaded(seen["n_rows"], seen["n_rejects"], high)
+        written = Segment(segment, low if keyed else None, rows=seen["n_rows"])
+        return written, Loaded(seen["n_rows"], seen["n_rejects"], high)
 
     def _analyze(self, segment: str, columns: list[str] | None) -> None:
         if columns is None:
@@ -344,10 +349,10 @@ class Target:
             self.spark.sql(f"DROP {kind} {self.name}")
 
 
-def _joined(kept, segment: Segment, loaded: Loaded) -> tuple[Segment, ...]:
-    """Old segments that still have rows plus the new one, which is left out if it is empty."""
-    segments = [old for old in kept if old is not None]
-    return tuple(segments if segments and not loaded.n_rows else [*segments, segment])
+def _joined(kept: Iterable[Segment | None], new: Segment) -> tuple[Segment, ...]:
+    """The segments with rows; an empty one only where there is no other to define the columns."""
+    segments = [old for old in kept if old is not None and old.rows != 0]
+    return tuple(segments if segments and new.rows == 0 else [*segments, new])
 
 
 def _is_whole(frame: DataFrame, key: str) -> bool:
