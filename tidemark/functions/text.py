@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# What Python's ``str.strip`` removes. ``(?U)\s`` is Unicode white space; the four
-# separators U+001C to U+001F are not part of it.
-_BLANK = r"[\s\x1c-\x1f]"
-_OUTER_BLANKS = rf"(?U)^{_BLANK}+|{_BLANK}+$"
+# The white space that Python's ``str.strip`` removes.
+_BLANKS = (
+    "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# Characters with a meaning in regular expressions.
+_SPECIAL = "\\.[]{}()<>*+-=!?^$|"
 
 
 def quoted(name: str) -> str:
@@ -29,12 +33,14 @@ def literal_pattern(text: str) -> str:
     """A regular expression that matches ``text`` and nothing else."""
     if not text:
         raise ValueError("empty delimiter")
+    if len(text) == 1 and text not in _SPECIAL:
+        return text  # a plain character is split on without a regular expression
     return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind at both ends (``trim`` only removes spaces)."""
-    return F.regexp_replace(text, _OUTER_BLANKS, "")
+    """Remove white space of every kind at both ends (``trim`` alone only removes spaces)."""
+    return F.trim(text, F.lit(_BLANKS))
 
 
 def truncate_utf8(text: Column, width: int) -> Column:

@@ -24,9 +24,8 @@ DEFAULT_PARTS = "1"
 _INTEGER = r"^[+-]?\d+(_\d+)*$"
 
 
-def _non_blank(text: Column) -> Column:
-    stripped = strip(text)
-    return F.when(stripped != "", stripped)
+def _stripped_items(text: Column | str, delimiter: str) -> Column:
+    return F.transform(F.split(text, literal_pattern(delimiter)), strip)
 
 
 def spec_values(
@@ -36,9 +35,9 @@ def spec_values(
 
     The other columns of ``frame`` are repeated; blank text yields no row.
     """
-    entries = F.filter(F.split(column(text), literal_pattern(entry_delimiter)), lambda e: strip(e) != "")
+    entries = F.array_remove(_stripped_items(column(text), entry_delimiter), "")
     others = [column(name) for name in frame.columns if name != text]
-    values = F.transform(F.split("entry", literal_pattern(value_delimiter)), _non_blank)
+    values = F.transform(_stripped_items("entry", value_delimiter), lambda value: F.nullif(value, F.lit("")))
     return frame.select(*others, F.posexplode(entries).alias("pos", "entry")).select(
         *others, "pos", values.alias("values")
     )
@@ -53,7 +52,7 @@ def _typed(value: Column, kind: str, key: str) -> Column:
     if kind == "str":
         return value
     if kind == "list":
-        return F.filter(F.transform(F.split(value, ","), strip), lambda item: item != "")
+        return F.array_remove(_stripped_items(value, ","), "")
     if kind == "int":
         number = _as_integer(value)
         message = F.concat(
@@ -93,21 +92,23 @@ def bookmark_entries(frame: DataFrame, text: str) -> DataFrame:
     no integers, and entries with more than one colon; their bookmark is NULL.
     """
     others = [column(name) for name in frame.columns if name != text]
+    # One select per step, so that no step's work is repeated where its result is used twice.
     rows = frame.select(*others, F.posexplode(F.split(column(text), ",")).alias("pos", "entry"))
-    fields = F.split("entry", ":")
-    name = strip(F.get(fields, F.lit(0)))
-    bookmark = F.when(F.size(fields) == 1, F.lit(0).cast("bigint")).otherwise(
-        _as_integer(strip(F.get(fields, F.lit(1))))
+    kept = [*others, "pos", "entry"]
+    rows = rows.select(*kept, F.split("entry", ":").alias("_fields"))
+    rows = rows.select(
+        *kept,
+        F.size("_fields").alias("_count"),
+        strip(F.get("_fields", F.lit(0))).alias("name"),
+        strip(F.get("_fields", F.lit(1))).alias("_bookmark"),
     )
-    valid = (F.size(fields) <= 2) & name.rlike(IDENTIFIER) & bookmark.isNotNull()
-    return rows.select(
-        *others,
-        "pos",
-        "entry",
-        name.alias("name"),
-        F.when(valid, bookmark).alias("bookmark"),
-        valid.alias("valid"),
+    bookmark = F.when(F.col("_count") == 1, F.lit(0).cast("bigint")).otherwise(_as_integer(F.col("_bookmark")))
+    rows = rows.select(
+        *kept,
+        "name",
+        F.when((F.col("_count") <= 2) & F.col("name").rlike(IDENTIFIER), bookmark).alias("bookmark"),
     )
+    return rows.withColumn("valid", F.col("bookmark").isNotNull())
 
 
 def last_bookmarks(entries: DataFrame, order: Sequence[str] = ("pos",), within: Sequence[str] = ()) -> DataFrame:
@@ -134,15 +135,19 @@ def with_partition_config(
     """
     place = F.struct(*[column(field) for field in order])
     first = (
-        configs.groupBy(column("table_name").alias("_table"))
+        configs.where(column("table_name").isNotNull())
+        .groupBy(column("table_name").alias("_table"))
         .agg(F.min_by(F.struct("hashfield", "hashpartitions"), place).alias("_config"))
-        .where(column("_table").isNotNull())
+        .select(
+            "_table",
+            F.nullif("_config.hashfield", F.lit("")).alias("_field"),
+            F.nullif("_config.hashpartitions", F.lit("")).alias("_parts"),
+        )
+        .withColumn("_split", _typed(F.col("_parts"), "int", "hashpartitions") > 1)
     )
-    hashfield = F.coalesce(F.nullif(F.col("_config.hashfield"), F.lit("")), F.lit(DEFAULT_FIELD))
-    parts = F.coalesce(F.nullif(F.col("_config.hashpartitions"), F.lit("")), F.lit(DEFAULT_PARTS))
     return specs.join(first, column(name) == column("_table"), "left").select(
         *[column(field) for field in specs.columns],
-        hashfield.alias("hashfield"),
-        parts.alias("hashpartitions"),
-        (_typed(parts, "int", "hashpartitions") > 1).alias("should_partition"),
+        F.coalesce("_field", F.lit(DEFAULT_FIELD)).alias("hashfield"),
+        F.coalesce("_parts", F.lit(DEFAULT_PARTS)).alias("hashpartitions"),
+        F.coalesce("_split", F.lit(int(DEFAULT_PARTS) > 1)).alias("should_partition"),
     )
