@@ -1,7 +1,10 @@
 """Database scans up to the connection: no database runs here, so only what is sent to one is checked."""
 
+from decimal import Decimal
 from unittest.mock import MagicMock
 
+import pytest
+
 from tidemark.operators.partitions import Parts
 from tidemark.sources.jdbc import JdbcSource
 
@@ -40,7 +43,7 @@ def test_parts_are_one_query_each():
     )
 
 
-def test_whole_table_is_one_query():
+def test_without_parts_and_key_one_query():
     spark = session()
     found = options(spark.read)
     JdbcSource(spark, "jdbc:x", {"user": "u"}).read("orders", Parts("id", 1))
@@ -48,11 +51,24 @@ def test_whole_table_is_one_query():
     spark.read.jdbc.assert_not_called()
 
 
-def test_ranges_span_all_keys():
+@pytest.mark.parametrize(
+    "keys, start, bounds",
+    [
+        ((-5, 100), None, ("-5", "101")),
+        ((Decimal(1), Decimal(100)), 90, ("90", "101")),
+        ((1, 100), 500, ("500", "501")),
+        ((None, None), None, None),
+        (("a", "b"), None, None),
+    ],
+)
+def test_a_key_is_read_in_ranges(keys, start, bounds):
     spark = session()
     found = options(spark.read)
-    spark.read.load.return_value.first.return_value = (-5, 100)
-    JdbcSource(spark, "jdbc:x").read_ranges("orders", "id", 7)
+    spark.read.load.return_value.first.return_value = keys
+    JdbcSource(spark, "jdbc:x", ranges=7).read("orders", None, "id", start)
     assert found["query"] == 'SELECT MIN("id") AS low, MAX("id") AS high FROM orders'
-    wanted = {"partitionColumn": "id", "lowerBound": "-5", "upperBound": "101", "numPartitions": "7"}
-    assert wanted.items() <= found.items()
+    if bounds is None:
+        assert "partitionColumn" not in found
+    else:
+        wanted = {"partitionColumn": "id", "lowerBound": bounds[0], "upperBound": bounds[1], "numPartitions": "7"}
+        assert wanted.items() <= found.items()

@@ -123,7 +123,7 @@ def update_tables(
     parts = partition_configs(spark, [spec.name for spec in listed], partitions)
     for spec in listed:
         key, split = _key_of(keys, spec.name), parts.get(spec.name)
-        frame = scans.scan(source.read(spec.name, split), spec.columns, key, spec.start_id)
+        frame = scans.scan(source.read(spec.name, split, key, spec.start_id), spec.columns, key, spec.start_id)
         frame = conform.unsigned_longs_to_long(frame)
         target = Target(spark, database, spec.name)
         # A database is read in parts already; files are read as they lie, so their rows are spread here.
@@ -155,7 +155,7 @@ def copy_table(
     """
     if not source.exists(name):
         raise ValueError(f"Table {name} does not exist in source database")
-    frame = source.read(name, parts)
+    frame = source.read(name, parts, key, bookmark)
     if key not in frame.columns:
         raise ValueError(f"Table {name} has no column {key}")
     if bookmark is not None or positive_keys_only:

@@ -47,6 +47,8 @@ class CatalogSource:
     def exists(self, name: str) -> bool:
         return self.spark.catalog.tableExists(self.identifier(name))
 
-    def read(self, name: str, parts: Parts | None = None) -> DataFrame:
-        """The whole table. Spark splits file scans itself, so ``parts`` asks for no extra work here."""
+    def read(
+        self, name: str, parts: Parts | None = None, key: str | None = None, start: int | None = None
+    ) -> DataFrame:
+        """The whole table. Spark splits file scans itself, so only the name matters here."""
         return self.spark.table(self.identifier(name))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,13 +18,15 @@ class JdbcSource:
     """Tables of one JDBC connection.
 
     ``hash_expression`` is the database's own integer hash with ``{field}`` in it, needed when a split
-    field is not an integer, for example ``CRC32({field})``.
+    field is not an integer, for example ``CRC32({field})``. ``ranges`` is the number of queries that read
+    a table with a whole-number key for which no parts are given.
     """
 
     spark: SparkSession
     url: str
     properties: dict[str, str] = field(default_factory=dict)
     hash_expression: str = "{field}"
+    ranges: int = 8
 
     def _quoted(self, name: str) -> str:
         dialects = self.spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects
@@ -41,32 +44,33 @@ class JdbcSource:
             log.warning("table %s cannot be read: %s", name, error)
             return False
 
-    def read(self, name: str, parts: Parts | None = None) -> DataFrame:
+    def read(
+        self, name: str, parts: Parts | None = None, key: str | None = None, start: int | None = None
+    ) -> DataFrame:
         """The whole table, lazily: later filters and column lists reach the database.
 
-        With ``parts``, one query per part runs in parallel; together they return every row once.
+        With ``parts``, one query per hash part runs in parallel; otherwise, with a ``key``, one per key
+        range, spread over the keys from ``start`` on. Together they return every row once.
         """
-        if parts is None or parts.count <= 1:
-            return self._reader().option("dbtable", name).load()
-        predicates = part_predicates(self._quoted(parts.field), parts.count, self.hash_expression)
-        return self.spark.read.jdbc(self.url, name, predicates=predicates, properties=self.properties)
+        if parts is not None and parts.count > 1:
+            predicates = part_predicates(self._quoted(parts.field), parts.count, self.hash_expression)
+            return self.spark.read.jdbc(self.url, name, predicates=predicates, properties=self.properties)
+        reader = self._reader().option("dbtable", name)
+        if key is not None and self.ranges > 1:
+            low, high = self._key_range(name, key)
+            if _whole(low) and _whole(high):
+                reader.option("partitionColumn", key).option("numPartitions", str(self.ranges))
+                # The bounds only place the cuts; the outer ranges are open and take rows without a key.
+                low = max(int(low), start or int(low))
+                reader.option("lowerBound", str(low)).option("upperBound", str(max(int(high), low) + 1))
+        return reader.load()
+
+    def _key_range(self, name: str, key: str) -> tuple:
+        quoted = self._quoted(key)
+        query = f"SELECT MIN({quoted}) AS low, MAX({quoted}) AS high FROM {name}"
+        row = self._reader().option("query", query).load().first()
+        return row[0], row[1]
 
-    def read_ranges(self, name: str, key: str, count: int) -> DataFrame:
-        """The whole table in ``count`` ranges of an indexed numeric key.
 
-        Each range is an index scan, where a hash split makes the database scan the table once per part.
-        """
-        quoted = self._quoted(key)
-        bounds = self._reader().option("query", f"SELECT MIN({quoted}) AS low, MAX({quoted}) AS high FROM {name}")
-        low, high = bounds.load().first()
-        if low is None:
-            return self.read(name)
-        return (
-            self._reader()
-            .option("dbtable", name)
-            .option("partitionColumn", key)
-            .option("lowerBound", str(low))
-            .option("upperBound", str(high + 1))
-            .option("numPartitions", str(count))
-            .load()
-        )
+def _whole(value) -> bool:
+    return isinstance(value, (int, Decimal)) and not isinstance(value, bool) and value == int(value)
