@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Row
 
 from tidemark.operators import specs
+from tidemark.operators.partitions import Parts
 from tidemark.plans import jobs
 
 NAME_COLUMNS_KEY = ["name", "columns", "sort_key"]
@@ -165,3 +166,11 @@ def test_partition_config(spark):
 def test_table_specs_are_rows_in_order(spark):
     rows = jobs.table_specs(spark, "z:*:5;a", ["name", "columns", "start_id"], ["str", "list", "int"])
     assert rows == [Row(pos=0, name="z", columns=["*"], start_id=5), Row(pos=1, name="a", columns=None, start_id=None)]
+
+
+def test_job_partition_configs(spark):
+    configs = jobs.partition_configs(spark, "orders:o_custkey:8;orders:x:2;a::4;b:k:1;c:k")
+    assert configs == {"orders": Parts("o_custkey", 8), "a": Parts("id", 4)}
+    assert jobs.partition_configs(spark, " ") == {}
+    with pytest.raises(ValueError):
+        jobs.partition_configs(spark, "a:k:many")

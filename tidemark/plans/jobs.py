@@ -67,17 +67,15 @@ def bookmark_list(spark: SparkSession, text: str) -> dict[str, int]:
     return {row.name: row.bookmark for row in entries}
 
 
-def partition_configs(spark: SparkSession, names: list[str], text: str) -> dict[str, Parts]:
-    """How each table is split for reading; tables without a config of more than one part are left out."""
-    if not names or not text.strip():
-        return {}
-    wanted = spark.createDataFrame([(name,) for name in names], "name string")
-    keys = ["table_name", "hashfield", "hashpartitions"]
-    configs = specs.keyed_specs(_text_table(spark, text), "spec", keys)
-    return {
-        row.name: Parts(row.hashfield, int(row.hashpartitions))
-        for row in specs.with_partition_config(wanted, configs).where("should_partition").collect()
-    }
+def partition_configs(spark: SparkSession, text: str) -> dict[str, Parts]:
+    """How each listed table is split for reading; the first entry for a table counts."""
+    configs: dict[str, Parts] = {}
+    if text.strip():
+        for row in table_specs(spark, text, ["table_name", "hashfield", "hashpartitions"]):
+            if row.table_name not in configs:
+                count = int(row.hashpartitions or specs.DEFAULT_PARTS)
+                configs[row.table_name] = Parts(row.hashfield or specs.DEFAULT_FIELD, count)
+    return {name: parts for name, parts in configs.items() if parts.count > 1}
 
 
 def _key_of(keys: Keys, name: str) -> str:
@@ -120,7 +118,7 @@ def update_tables(
     """
     spark, report = source.spark, []
     listed = table_specs(spark, tables, ["name", "columns", "start_id"], ["str", "list", "int"])
-    parts = partition_configs(spark, [spec.name for spec in listed], partitions)
+    parts = partition_configs(spark, partitions)
     for spec in listed:
         key, split = _key_of(keys, spec.name), parts.get(spec.name)
         frame = scans.scan(source.read(spec.name, split, key, spec.start_id), spec.columns, key, spec.start_id)
@@ -189,7 +187,7 @@ def copy_tables(
     """
     spark = source.spark
     listed = bookmark_list(spark, tables)
-    parts = partition_configs(spark, list(listed), partitions)
+    parts = partition_configs(spark, partitions)
 
     def attempt(name: str) -> tuple:
         bookmark = listed[name] or None
