@@ -176,6 +176,18 @@ def test_plain_tables_are_taken_over(spark, target):
     assert rows(target) == [(0, "xx"), (1, "xx"), (2, "xx"), (3, "lo"), (4, "lo")]
 
 
+def test_fixed_width_and_nested_columns_of_plain_tables(spark, target):
+    spark.sql(f"CREATE TABLE {target.name} (id bigint, c char(3), s struct<Xy:int>, g int) USING parquet PARTITIONED BY (g)")
+    spark.sql(f"INSERT INTO {target.name} VALUES (1, 'abc', struct(1), 7)")
+    target.append(spark.sql("SELECT 2L AS id, 'éé' AS c, struct(2 AS Xy) AS s, 8 AS g"))
+    target.append(spark.sql("SELECT 3L AS id, 9 AS g"))
+    assert [(r.id, r.c, r.s and r.s.Xy, r.g) for r in target.read().orderBy("id").collect()] == [
+        (1, "abc", 1, 7),
+        (2, "é  ", 2, 8),
+        (3, None, None, 9),
+    ]
+
+
 @pytest.mark.parametrize("kind", ["TABLE {} (x int) USING parquet", "VIEW {} AS SELECT 1 AS x"])
 def test_plain_tables_and_views_are_replaced(spark, target, kind):
     spark.sql("CREATE " + kind.format(target.name))

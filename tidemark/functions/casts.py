@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import truncate_utf8
 
+SIZED_TEXT = (T.VarcharType, T.CharType)
+
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 _INTEGRAL_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
 
@@ -23,7 +25,7 @@ def cast_or_fail(value: Column, to: T.DataType, label: str) -> Column:
 
 def never_fails(source: T.DataType, to: T.DataType) -> bool:
     """Whether every non-NULL ``source`` value has a non-NULL counterpart in ``to``."""
-    if source == to or isinstance(to, (T.VarcharType, T.StringType)):
+    if source == to or isinstance(to, (*SIZED_TEXT, T.StringType)):
         return True
     if isinstance(source, T.NullType):
         return True
@@ -50,7 +52,7 @@ def as_text(value: Column, source: T.DataType) -> Column:
 
 def conformed(value: Column, source: T.DataType, to: T.DataType) -> Column:
     """``value`` as target type ``to``: text is cut to its byte width, misfits become NULL."""
-    if isinstance(to, T.VarcharType):
+    if isinstance(to, SIZED_TEXT):
         return truncate_utf8(as_text(value, source), to.length)
     if isinstance(to, T.StringType):
         return as_text(value, source)

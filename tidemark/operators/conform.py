@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import types
-from tidemark.functions.casts import cast_or_fail, conformed, never_fails
+from tidemark.functions.casts import SIZED_TEXT, cast_or_fail, conformed, never_fails
 from tidemark.functions.text import column
 
 # Fixed value: the type MySQL-style connectors give to unsigned 64-bit integers.
@@ -108,7 +108,7 @@ def align(frame: DataFrame, columns: Columns) -> DataFrame:
     """
     matched = _matched(frame, columns)
     selected = [
-        F.lit(None).cast(T.StringType() if isinstance(to, T.VarcharType) else to).alias(name)
+        F.lit(None).cast(T.StringType() if isinstance(to, SIZED_TEXT) else to).alias(name)
         if field is None
         else conformed(column(field.name), field.dataType, to).alias(name)
         for name, to, field in matched
