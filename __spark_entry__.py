@@ -53,7 +53,9 @@ def query(sql: str | None = None):
 def source(spark: SparkSession, sf_dir: str, *names: str) -> CatalogSource:
     """The test tables as a catalog database."""
     database = f"tidemark_source_{zlib.crc32(sf_dir.encode()):08x}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    if not spark.catalog.databaseExists(database):
+        location = sql_string(f"{shared_folder(spark)}/{database}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION {location}")
     tables = CatalogSource(spark, database)
     for name in names:
         if not tables.exists(name):

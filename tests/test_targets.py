@@ -92,13 +92,23 @@ def test_empty_loads(spark, target):
 
 def test_folding_keeps_the_rows(spark, target, monkeypatch):
     monkeypatch.setattr(targets, "MAX_SEGMENTS", 4)
-    target.replace_table(numbered(spark, 0, 10), "id", Layout(("id",), "id", 2))
+    target.replace_table(numbered(spark, -1000, 10), "id", Layout(("id",), "id", 2))
     base = target.state().segments[0].table
     for step in range(1, 9):
         target.replace_tail(numbered(spark, 10 * step, 10 * step + 10, str(step)), "id", 10 * step - 1)
         assert len(target.state().segments) <= 4
+    target.replace_tail(numbered(spark, 46, 49, "x"), "id", 45)
     assert target.state().segments[0].table == base
-    assert rows(target) == sorted([(i, str(i // 10) if i >= 10 else "a") for i in range(90)], key=repr)
+    tags = {i: str(i // 10) if i >= 10 else "a" for i in range(-1000, 46)} | dict.fromkeys([46, 47, 48], "x")
+    assert rows(target) == sorted(tags.items(), key=repr)
+
+
+def test_what_is_merged():
+    assert targets._merge_start([1000, 10, 10, 10]) == 1
+    assert targets._merge_start([20, 10, 10, 10]) == 0
+    assert targets._merge_start([None, 10, 10]) == 1
+    assert targets._merge_start([1000, 100, 10, 1]) == 2
+    assert targets._merge_start([5, None]) == 0
 
 
 def test_failed_load_leaves_the_target(spark, target):

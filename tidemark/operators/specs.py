@@ -116,15 +116,25 @@ def last_bookmarks(entries: DataFrame, order: Sequence[str] = ("pos",), within:
 
     Repeated names are reduced before the shuffle, so a name may be repeated without limit.
     """
-    place = F.struct(*[column(name) for name in order])
+    place = _place(order)
     return (
         entries.where(column("valid"))
         .groupBy(*[column(name) for name in within], "name")
         .agg(F.max_by("bookmark", place).alias("bookmark"), F.min(place).alias("place"))
-        .select(*[column(name) for name in within], "place.*", "name", "bookmark")
+        .select(
+            *[column(name) for name in within],
+            *([F.col("place").alias(order[0])] if len(order) == 1 else ["place.*"]),
+            "name",
+            "bookmark",
+        )
     )
 
 
+def _place(order: Sequence[str]) -> Column:
+    """What rows are ordered by: a plain column if one is enough, which aggregates by hash, not by sort."""
+    return column(order[0]) if len(order) == 1 else F.struct(*[column(name) for name in order])
+
+
 def with_partition_config(
     specs: DataFrame, configs: DataFrame, name: str = "name", order: Sequence[str] = ("pos",)
 ) -> DataFrame:
@@ -133,11 +143,10 @@ def with_partition_config(
     ``configs`` has table_name, hashfield and hashpartitions. They are reduced to one row per table
     before the join, so the join never multiplies rows; Spark picks the join by the sides' sizes.
     """
-    place = F.struct(*[column(field) for field in order])
     first = (
         configs.where(column("table_name").isNotNull())
         .groupBy(column("table_name").alias("_table"))
-        .agg(F.min_by(F.struct("hashfield", "hashpartitions"), place).alias("_config"))
+        .agg(F.min_by(F.struct("hashfield", "hashpartitions"), _place(order)).alias("_config"))
         .select(
             "_table",
             F.nullif("_config.hashfield", F.lit("")).alias("_field"),

@@ -313,15 +313,13 @@ class Target:
         return f"{text} WHERE {quoted(state.key)} {op} {bound} OR {quoted(state.key)} IS NULL"
 
     def _folded(self, state: State) -> State:
-        """Merge all segments but the first once there are many, so that reads stay cheap.
-
-        The first one, usually the full load and nearly all of the data, is not rewritten.
-        """
+        """Merge the newest segments once there are many, so that reads stay cheap."""
         if len(state.segments) < MAX_SEGMENTS:
             return state
-        tail = [self.spark.sql(self._kept_sql(state, segment)) for segment in state.segments[1:]]
-        merged, _ = self._write(reduce(DataFrame.unionByName, tail), self.columns(), state.layout, state.key)
-        state = replace(state, segments=(state.segments[0], merged))
+        start = _merge_start([segment.rows for segment in state.segments])
+        newest = [self.spark.sql(self._kept_sql(state, segment)) for segment in state.segments[start:]]
+        merged, _ = self._write(reduce(DataFrame.unionByName, newest), self.columns(), state.layout, state.key)
+        state = replace(state, segments=_joined(state.segments[:start], merged))
         self._publish(state)
         return state
 
@@ -355,6 +353,19 @@ def _joined(kept: Iterable[Segment | None], new: Segment) -> tuple[Segment, ...]
     return tuple(segments if segments and new.rows == 0 else [*segments, new])
 
 
+def _merge_start(rows: list[int | None]) -> int:
+    """Where the newest segments to merge begin: two at least, and older ones up to twice their size.
+
+    So a row is rewritten about as often as the table doubles, and a large full load hardly ever.
+    """
+    start = len(rows) - 2
+    merged = (rows[-1] or 0) + (rows[-2] or 0)
+    while start > 0 and rows[start - 1] is not None and rows[start - 1] <= 2 * merged:
+        start -= 1
+        merged += rows[start]
+    return start
+
+
 def _is_whole(frame: DataFrame, key: str) -> bool:
     """Whether keys are whole numbers, which is what bounds and bookmarks are."""
     if key not in frame.columns:
