@@ -205,6 +205,24 @@ def test_plain_tables_and_views_are_replaced(spark, target, kind):
     assert target.read().columns == ["id", "tag"] and rows(target) == []
 
 
+def test_failed_loads_keep_plain_tables(spark, target):
+    spark.sql(f"CREATE TABLE {target.name} (id bigint, tag varchar(2)) USING parquet")
+    numbered(spark, 0, 2).write.insertInto(target.name)
+    with pytest.raises(PySparkException, match="boom"):
+        target.replace_table(numbered(spark, 0, 2).withColumn("tag", F.raise_error(F.lit("boom")).cast("string")))
+    assert rows(target) == [(0, "a"), (1, "a")]
+
+
+def test_other_views_are_only_replaced_as_a_whole(spark, target):
+    spark.sql(f"CREATE VIEW {target.name} AS SELECT 1L AS id")
+    with pytest.raises(ValueError, match="is another view"):
+        target.append(spark.range(3))
+    target.replace_table(spark.range(3))
+    assert target.read().count() == 3
+    target.drop()
+    assert not target.exists()
+
+
 def test_columns_are_aligned_by_name(spark, target):
     target.recreate([("id", T.LongType()), ("tag", T.VarcharType(9)), ("on", T.DateType())])
     target.append(spark.createDataFrame([("x", 7)], "TAG string, Id int"))

@@ -115,26 +115,32 @@ class Target:
         """Declared columns."""
         return [(n, parse_type(t)) for n, t in table_columns(self.spark, self._qualified(self._current().segments[0].table))]
 
-    def _current(self) -> State:
-        """The published state; a plain table of that name becomes the first segment."""
+    def _adopt(self) -> State | None:
+        """The published state. A plain table of that name becomes the first segment; other views do not."""
         state = self.state()
-        if state is not None:
-            return state
-        if not self.exists():
-            raise ValueError(f"target {self.name} does not exist")
-        segment = self._segment_name()
-        self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self._qualified(segment)}")
-        state = State((Segment(segment),))
-        self._publish(state)
+        if state is None and self.exists() and not self._is_view():
+            segment = self._segment_name()
+            self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self._qualified(segment)}")
+            state = State((Segment(segment),))
+            self._publish(state)
         return state
 
+    def _current(self) -> State:
+        state = self._adopt()
+        if state is None:
+            raise ValueError(f"target {self.name} {'is another view' if self.exists() else 'does not exist'}")
+        return state
+
+    def _is_view(self) -> bool:
+        return self.spark.catalog.getTable(self.name).tableType == "VIEW"
+
     # -- loads -----------------------------------------------------------------------------------
 
     def recreate(self, columns: Columns, layout: Layout = Layout()) -> None:
         """An empty table with these columns in place of whatever had the name."""
         if layout.dist_key is not None and layout.buckets is None:
             layout = replace(layout, buckets=int(self.spark.conf.get("spark.sql.shuffle.partitions")))
-        self._drop_foreign()
+        self._adopt()
         segment = self._create(columns, layout)
         self._analyze(segment, [])
         self._publish(State((Segment(segment, rows=0),), layout=layout))
@@ -155,7 +161,7 @@ class Target:
         **options,
     ) -> Loaded:
         """Rows, columns and layout replaced, whether or not the table exists."""
-        self._drop_foreign()
+        self._adopt()
         layout = layout.sized_for(frame)
         segment, loaded = self._write(frame, columns or target_schema(frame), layout, key, **options)
         self._publish(State((segment,), key, loaded.high_key, layout))
@@ -235,8 +241,8 @@ class Target:
 
     def drop(self) -> None:
         """Remove the table and everything it was made of."""
-        self._drop_foreign()
-        self.spark.sql(f"DROP VIEW IF EXISTS {self.name}")
+        if self.exists():
+            self.spark.sql(f"DROP {'VIEW' if self._is_view() else 'TABLE'} {self.name}")
         for name in self._segment_tables():
             self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(name)}")
 
@@ -340,12 +346,6 @@ class Target:
             if name not in used:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(name)}")
 
-    def _drop_foreign(self) -> None:
-        """Drop a plain table of the target's name, so that a view can take it."""
-        if self.exists() and self.state() is None:
-            kind = "VIEW" if self.spark.catalog.getTable(self.name).tableType == "VIEW" else "TABLE"
-            self.spark.sql(f"DROP {kind} {self.name}")
-
 
 def _joined(kept: Iterable[Segment | None], new: Segment) -> tuple[Segment, ...]:
     """The segments with rows; an empty one only where there is no other to define the columns."""

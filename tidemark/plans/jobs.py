@@ -82,8 +82,8 @@ def _key_of(keys: Keys, name: str) -> str:
     return keys if isinstance(keys, str) else keys.get(name, specs.DEFAULT_FIELD)
 
 
-def _ok(name: str, loaded: Loaded, as_text: list[str] = []) -> tuple:
-    return (name, "ok", loaded.n_rows, loaded.n_rejects, loaded.high_key, as_text, None)
+def _ok(name: str, loaded: Loaded, as_text: list[str] | None = None) -> tuple:
+    return (name, "ok", loaded.n_rows, loaded.n_rejects, loaded.high_key, as_text or [], None)
 
 
 def recreate_tables(source: CatalogSource, database: str, tables: str) -> DataFrame:
