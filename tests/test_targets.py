@@ -205,6 +205,18 @@ def test_plain_tables_and_views_are_replaced(spark, target, kind):
     assert target.read().columns == ["id", "tag"] and rows(target) == []
 
 
+def test_a_lost_take_over_is_completed(spark, target):
+    spark.sql(f"CREATE TABLE {target.name} (id bigint, tag varchar(2)) USING parquet")
+    numbered(spark, 0, 4).write.insertInto(target.name)
+    spark.sql(f"ALTER TABLE {target.name} RENAME TO {target._qualified(target._base)}")
+    assert target.exists()
+    target.replace_tail(numbered(spark, 3, 6, "b"), "id", 2)
+    assert rows(target) == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "b")]
+    for _ in range(2):
+        target.replace_rows(numbered(spark, 0, 1))
+    assert not spark.catalog.tableExists(target._qualified(target._base))
+
+
 def test_failed_loads_keep_plain_tables(spark, target):
     spark.sql(f"CREATE TABLE {target.name} (id bigint, tag varchar(2)) USING parquet")
     numbered(spark, 0, 2).write.insertInto(target.name)

@@ -90,6 +90,7 @@ class Target:
     def __init__(self, spark: SparkSession, database: str, table: str):
         self.spark, self.database, self.table = spark, database, table
         self.name = self._qualified(table)
+        self._base = f"{table}__base"
 
     def _qualified(self, table: str) -> str:
         return f"{quoted(self.database)}.{quoted(table)}"
@@ -97,14 +98,17 @@ class Target:
     # -- reading ---------------------------------------------------------------------------------
 
     def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name)
+        return self._is_there(self.table) or self._is_there(self._base)
+
+    def _is_there(self, table: str) -> bool:
+        return self.spark.catalog.tableExists(self._qualified(table))
 
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
     def state(self) -> State | None:
         """None if there is no table of that name, or one that was not published here."""
-        if not self.exists():
+        if not self._is_there(self.table):
             return None
         for row in self.spark.sql(f"SHOW TBLPROPERTIES {self.name}").collect():
             if row.key == STATE:
@@ -113,16 +117,25 @@ class Target:
 
     def columns(self) -> Columns:
         """Declared columns."""
-        return [(n, parse_type(t)) for n, t in table_columns(self.spark, self._qualified(self._current().segments[0].table))]
+        segment = self._qualified(self._current().segments[0].table)
+        return [(name, parse_type(declared)) for name, declared in table_columns(self.spark, segment)]
 
     def _adopt(self) -> State | None:
-        """The published state. A plain table of that name becomes the first segment; other views do not."""
+        """The published state. A plain table of that name becomes the first segment; other views do not.
+
+        A run that is lost between renaming and publishing is taken up by the next one.
+        """
         state = self.state()
-        if state is None and self.exists() and not self._is_view():
-            segment = self._segment_name()
-            self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self._qualified(segment)}")
-            state = State((Segment(segment),))
-            self._publish(state)
+        if state is not None:
+            return state
+        if self._is_there(self.table):
+            if self._is_view():
+                return None
+            self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self._qualified(self._base)}")
+        elif not self._is_there(self._base):
+            return None
+        state = State((Segment(self._base),))
+        self._publish(state)
         return state
 
     def _current(self) -> State:
@@ -241,7 +254,7 @@ class Target:
 
     def drop(self) -> None:
         """Remove the table and everything it was made of."""
-        if self.exists():
+        if self._is_there(self.table):
             self.spark.sql(f"DROP {'VIEW' if self._is_view() else 'TABLE'} {self.name}")
         for name in self._segment_tables():
             self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(name)}")
@@ -252,7 +265,7 @@ class Target:
         return f"{self.table}__{uuid.uuid4().hex[:12]}"
 
     def _segment_tables(self) -> list[str]:
-        own = re.compile(re.escape(self.table.lower()) + r"__[0-9a-f]{12}")
+        own = re.compile(re.escape(self.table.lower()) + r"__(base|[0-9a-f]{12})")
         tables = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE {sql_string(self.table + '__*')}")
         return [row.tableName for row in tables.collect() if own.fullmatch(row.tableName)]
 
