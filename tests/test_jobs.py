@@ -37,6 +37,11 @@ def test_recreate_tables(spark, tables, database):
         ("list", "varchar(65535)"), ("g", "bigint"),
     ]
     assert Target(spark, database, "orders").read().count() == 0
+    spark.sql(f"CREATE TABLE {tables.identifier('declared')} (a varchar(40), b string, c smallint, `d.e` date) USING parquet")
+    jobs.recreate_tables(tables, database, "declared:d.e,c,a,b")
+    assert types_of(Target(spark, database, "declared")) == [
+        ("a", "varchar(65535)"), ("b", "varchar(255)"), ("c", "varchar(65535)"), ("d.e", "date"),
+    ]
     with pytest.raises(PySparkException):
         jobs.recreate_tables(tables, database, "missing;orders")
 

@@ -345,3 +345,27 @@ def test_parts_do_not_change_rows(spark, target):
     data = numbered(spark, 0, 500)
     target.replace_table(data, "id", Layout(("id",)), parts=Parts("tag", 7))
     assert rows(target) == sorted(map(tuple, data.collect()), key=repr)
+
+
+def test_replacing_the_rows_of_an_empty_target_is_a_full_copy(spark, database, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    copied, filled = Target(spark, database, "copied"), Target(spark, database, "filled")
+    first = copied.replace_table(lines, "l_orderkey")
+    filled.recreate(copied.columns())
+    assert filled.replace_rows(lines, "l_orderkey") == first
+    assert filled.read().exceptAll(copied.read()).isEmpty() and copied.read().exceptAll(filled.read()).isEmpty()
+
+
+@pytest.mark.parametrize("layout", [Layout(), Layout(("id",)), Layout(("id",), "id", 3)])
+def test_a_load_reads_its_source_once(spark, target, layout):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    target.replace_table(numbered(spark, 0, 1000).mapInPandas(counted, "id bigint, tag string"), "id", layout)
+    assert seen.value == 1000
+    target.replace_tail(numbered(spark, 500, 1000).mapInPandas(counted, "id bigint, tag string"), "id", 499)
+    assert seen.value == 1500

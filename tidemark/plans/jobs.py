@@ -18,7 +18,7 @@ from tidemark.operators import conform, scans, specs
 from tidemark.operators.layout import Layout
 from tidemark.operators.partitions import Parts
 from tidemark.operators.targets import Loaded, Target
-from tidemark.sources.catalog import CatalogSource
+from tidemark.sources.catalog import CatalogSource, target_columns
 from tidemark.sources.jdbc import JdbcSource
 
 log = logging.getLogger(__name__)
@@ -94,9 +94,9 @@ def recreate_tables(source: CatalogSource, database: str, tables: str) -> DataFr
     spark, report = source.spark, []
     keys = ["name", "columns", "sort_key", "dist_key"]
     for spec in table_specs(spark, tables, keys, ["str", "list", "list", "str"]):
-        frame = scans.include_columns(source.read(spec.name), spec.columns)
-        layout = Layout(tuple(spec.sort_key or ()), spec.dist_key).sized_for(frame)
-        Target(spark, database, spec.name).recreate(conform.target_schema(frame), layout)
+        columns = target_columns(spark, source.identifier(spec.name), spec.columns)
+        layout = Layout(tuple(spec.sort_key or ()), spec.dist_key).sized_for(source.read(spec.name))
+        Target(spark, database, spec.name).recreate([(n, types.parse_type(t)) for n, t in columns], layout)
         report.append(_ok(spec.name, Loaded(0, 0, None)))
     return spark.createDataFrame(report, REPORT)
 
