@@ -629,9 +629,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return target.read()
 
 
+# The text operators are optional: without their files, the other queries stay.
+try:
+    import corpus_pipeline  # noqa: F401
+    from tidemark.llm import queries as text_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("corpus_pipeline", "tidemark.llm"):
+        raise
+    text_queries = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return _QUERIES | (text_queries.queries() if text_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | (text_queries.oracle_sql() if text_queries else {})
