@@ -17,7 +17,7 @@ CATEGORIES = ("quality", "toxic")
 #: Hashed word features, a bound on a broadcast model of 4 bytes each and category.
 FEATURES = 1 << 18
 #: At most so many labelled documents are fitted on; scoring covers all documents.
-MAX_LABELLED = 5000
+MAX_LABELLED = 8000
 
 _WORD_BYTES = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in bytes(range(256)).lower())
 
