@@ -29,7 +29,7 @@ from tidemark.plans import jobs
 from tidemark.sources.catalog import CatalogSource, target_columns
 from tidemark.sources.files import preview, read_json
 from tidemark.streaming.files import load_new_files
-from tidemark.workspace import new_database, shared_folder
+from tidemark.workspace import new_database, shared_folder, ship_package
 
 START = 500
 KEYS = {"orders": "o_orderkey", "customer": "c_custkey", "lineitem": "l_orderkey", "part": "p_partkey"}
@@ -640,7 +640,17 @@ except ModuleNotFoundError as error:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES | (text_queries.queries() if text_queries else {})
+    return _QUERIES | {name: _shipped(run) for name, run in (text_queries.queries() if text_queries else {}).items()}
+
+
+def _shipped(run):
+    """A query whose functions run in Python workers."""
+
+    def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return run(spark, sf_dir)
+
+    return call
 
 
 def oracle_sql() -> dict[str, str]:

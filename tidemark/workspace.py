@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,3 +30,23 @@ def new_database(spark: SparkSession, prefix: str = "tidemark") -> str:
     name = f"{prefix}_{uuid.uuid4().hex[:12]}"
     spark.sql(f"CREATE DATABASE {quoted(name)} LOCATION {sql_string(shared_folder(spark) + '/' + name)}")
     return name
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a session, once; they may start in any folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")
+    with zipfile.ZipFile(path, "w") as archive:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    archive.write(file, os.path.join("tidemark", os.path.relpath(file, package)))
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
