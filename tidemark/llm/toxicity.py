@@ -104,15 +104,12 @@ def _descend(which, of, scale, before, y, lasso: float, ridge: float, steps: int
 
 
 def best_threshold(chance: np.ndarray, y: np.ndarray) -> float:
-    """The probability, between two of those seen, with the best F0.5, so that few clean documents are lost.
-
-    0.5 without both classes.
-    """
+    """The probability between two of those seen that separates best by F1; 0.5 without both classes."""
     if not 0 < y.sum() < len(y):
         return 0.5
     order = np.argsort(-chance, kind="stable")
     hits = np.cumsum(y[order])
-    score = 1.25 * hits / (np.arange(1, len(y) + 1) + 0.25 * y.sum())
+    score = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
     score[:-1][np.diff(chance[order]) == 0] = 0
     best = int(np.argmax(score))
     below = chance[order[best + 1]] if best + 1 < len(y) else 0.0
