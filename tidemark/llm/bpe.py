@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the broadcast rank file and of the pieces that a worker remembers.
-MAX_FILE, MAX_PIECES, MAX_PIECE = 64 << 20, 500_000, 64
+MAX_FILE, MAX_PIECES, MAX_PIECE = 64 << 20, 300_000, 64
 _WORD = 8  # a bitmap word has 2 ** _WORD bits
 
 
@@ -171,17 +171,11 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _groups(texts: list[str], most: int = 1 << 20):
-    """The texts in groups of about ``most`` characters, so that a batch of any size takes bounded memory."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+def _parts(batches, rows: int = 256):
+    """The rows of Arrow batches, a few at a time, so that a batch of any size takes little memory beside itself."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 @lru_cache(2)
@@ -210,8 +204,8 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         encode = encoder(ranks.value, pattern).encode
-        for batch in batches:
-            found = [ids for group in _groups(batch.column(1).to_pylist()) for ids in encode(group)]
+        for batch in _parts(batches):
+            found = encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
@@ -224,7 +218,7 @@ def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         decode = encoder(ranks.value, pattern).decode
-        for batch in batches:
+        for batch in _parts(batches):
             found = [decode(i or b"") for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["doc_id", "ids", "decoded"])
 
