@@ -133,9 +133,9 @@ def test_edits_and_likeness(spark, small, monkeypatch):
         r = found[i]
         assert (r["n_chars"], r["edited_sha256"]) == (len(text), hashlib.sha256(edited.encode()).hexdigest())
         a, b = r["fingerprint"], r["edited_fingerprint"]
-        assert len(a) == len(b) == 8 * order_minhash.COMPONENTS
-        pairs = [(a[j : j + 8], b[j : j + 8]) for j in range(0, len(a), 8)]
-        pairs = [p for p in pairs if p != ("-" * 8, "-" * 8)]
+        assert len(a) == len(b) == 4 * order_minhash.COMPONENTS
+        pairs = [(a[j : j + 4], b[j : j + 4]) for j in range(0, len(a), 4)]
+        pairs = [p for p in pairs if p != ("----", "----")]
         assert r["near_edited"] == pytest.approx(sum(x == y for x, y in pairs) / len(pairs) if pairs else 1.0)
     by_text = defaultdict(set)
     for i, text in rows:
