@@ -202,4 +202,5 @@ def without_copies(docs: DataFrame) -> DataFrame:
     """
     kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return named.unionByName(docs.where("doc_id IS NULL")).dropDuplicates(["doc_id", "text"])
+    # the rows of an id lie together after the join, so that this needs no further shuffle
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
