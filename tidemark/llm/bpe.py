@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Bounds of the broadcast rank file and of the pieces that a worker remembers.
-MAX_FILE, MAX_PIECES, MAX_PIECE = 64 << 20, 300_000, 64
+MAX_FILE, MAX_PIECES, MAX_PIECE = 64 << 20, 800_000, 64
 _WORD = 8  # a bitmap word has 2 ** _WORD bits
 
 
@@ -76,6 +76,7 @@ class Encoder:
                 self.pairs[token[0] << 8 | token[1]] = rank
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # pieces known before; those in use come back from here
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, which must not be empty, as little-endian 32-bit integers.
@@ -147,14 +148,16 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [self.split(text) for text in texts]
-        known, fresh = self.known, {}
-        if len(known) > MAX_PIECES:
-            known.clear()
+        if len(self.known) > MAX_PIECES // 2:
+            self.known, self.older = {}, self.known
+        known, older, fresh = self.known, self.older, {}
         new = {piece for pieces in split for piece in pieces if piece not in known}
         rare = []
         for piece in new:
             data = piece.encode()
-            if data in self.ranks:
+            if piece in older:
+                fresh[piece] = older[piece]
+            elif data in self.ranks:
                 fresh[piece] = struct.pack("<I", self.ranks[data])
             else:
                 rare.append((piece, data))
