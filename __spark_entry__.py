@@ -22,12 +22,12 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import quoted, sql_string, truncate_utf8
 from tidemark.operators import conform, scans, specs
-from tidemark.operators.layout import Layout, spread_if_large
+from tidemark.operators.layout import Layout, spread_by_key
 from tidemark.operators.partitions import Parts, part_of, spread
 from tidemark.operators.targets import Target, bookmarks
 from tidemark.plans import jobs
 from tidemark.sources.catalog import CatalogSource, target_columns
-from tidemark.sources.files import preview, read_json
+from tidemark.sources.files import preview, read_json, read_json_or_reject, schema_report
 from tidemark.streaming.files import load_new_files
 from tidemark.workspace import new_database, shared_folder, ship_package
 
@@ -129,20 +129,55 @@ def include_columns(spark, sf_dir):
     return scans.include_columns(table(spark, sf_dir, "orders"), ["o_custkey", "o_orderkey", "o_orderkey_x", "o_order"])
 
 
-@query("SELECT event_id, user_id, event_type, value, props FROM events")
+_EVENTS = "event_id bigint, user_id bigint, event_type string, ts timestamp, value double, props string"
+
+
+@query(
+    "SELECT event_id, user_id, event_type, CAST(epoch_us(ts) AS BIGINT) AS ts, value, props FROM events"
+)
 def json_scan(spark, sf_dir):
-    schema = "event_id bigint, user_id bigint, event_type string, value double, props string"
-    return read_json(spark, _events_as_json(spark, sf_dir), schema)
+    return _with_micros(read_json(spark, _events_as_json(spark, sf_dir), _EVENTS))
 
 
-@query()
+@query("SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_in_source")
 def json_sample(spark, sf_dir):
-    return preview(read_json(spark, _events_as_json(spark, sf_dir)))
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.lit(1).alias("there"))
+    sample = preview(read_json(spark, _events_as_json(spark, sf_dir))).select("event_id", "user_id")
+    found = sample.join(events, ["event_id", "user_id"], "left")
+    return found.agg(F.count("*").alias("n_rows"), F.count("there").alias("n_in_source"))
+
+
+@query(
+    "SELECT * FROM (VALUES ('event_id', 'bigint'), ('event_type', 'string'), ('props', 'string'), "
+    "('ts', 'string'), ('user_id', 'bigint'), ('value', 'double')) AS t(\"column\", type)"
+)
+def json_schema(spark, sf_dir):
+    return schema_report(read_json(spark, _events_as_json(spark, sf_dir))).select("column", "type")
+
+
+@query(
+    "SELECT event_id, CASE WHEN event_id % 10 = 3 THEN 'rejected' ELSE 'ok' END AS state FROM events"
+)
+def json_rejects(spark, sf_dir):
+    lines = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct("event_id", "user_id", "props")).alias("line"))
+    broken = F.when(F.col("event_id") % 10 == 3, F.left("line", F.length("line") - 1)).otherwise(F.col("line"))
+    folder = f"{shared_folder(spark)}/tidemark_json_{uuid.uuid4().hex[:12]}"
+    lines.select(broken.alias("value")).write.text(folder)
+    good, bad = read_json_or_reject(spark, folder, T.StructType.fromDDL("event_id bigint, user_id bigint, props string"))
+    rejected = F.regexp_extract("record", '"event_id":([0-9]+)', 1).cast("bigint").alias("event_id")
+    return good.select("event_id", F.lit("ok").alias("state")).unionByName(bad.select(rejected, F.lit("rejected").alias("state")))
+
+
+def _with_micros(events: DataFrame) -> DataFrame:
+    """Times as whole microseconds, which both engines hand on alike."""
+    return events.withColumn("ts", F.unix_micros("ts"))
 
 
 def _events_as_json(spark: SparkSession, sf_dir: str) -> str:
     folder = f"{shared_folder(spark)}/tidemark_json_{uuid.uuid4().hex[:12]}"
-    events = table(spark, sf_dir, "events").drop("ts").withColumn("folder", F.col("event_type"))
+    # times with all their digits; JSON files have milliseconds otherwise
+    events = table(spark, sf_dir, "events").withColumn("folder", F.col("event_type"))
+    events = events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
     events.write.partitionBy("folder").json(folder)
     return folder
 
@@ -390,10 +425,13 @@ def replace_rows_in_parts(spark, sf_dir):
     return target.read()
 
 
-@query("SELECT l_orderkey, l_extendedprice FROM lineitem")
+@query("SELECT l_orderkey, count(*) AS n_rows, CAST(1 AS BIGINT) AS n_files FROM lineitem GROUP BY l_orderkey")
 def spread_large_input(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_extendedprice")
-    return spread_if_large(lines, "l_orderkey", parts=4, rows=1_000_001)
+    """All rows of a key are written to one file."""
+    folder = f"{shared_folder(spark)}/tidemark_spread_{uuid.uuid4().hex[:12]}"
+    spread_by_key(table(spark, sf_dir, "lineitem"), "l_orderkey", parts=4).write.parquet(folder)
+    files = spark.read.parquet(folder).select("l_orderkey", F.input_file_name().alias("file"))
+    return files.groupBy("l_orderkey").agg(F.count("*").alias("n_rows"), F.countDistinct("file").alias("n_files"))
 
 
 @query(
@@ -590,6 +628,75 @@ def resume_from_bookmark(spark, sf_dir):
     return Target(spark, database, "orders").read()
 
 
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def copy_wide_text(spark, sf_dir):
+    database = new_database(spark)
+    jobs.copy_tables(source(spark, sf_dir, "documents"), database, "documents", "doc_id", string_width=1 << 20)
+    return Target(spark, database, "documents").read()
+
+
+@query("SELECT 'ok' AS status, count(*) AS n_rows, count(*) FILTER (WHERE strlen(text) > 255) AS n_cut FROM documents")
+def copy_counts_cut_text(spark, sf_dir):
+    report = jobs.copy_tables(source(spark, sf_dir, "documents"), new_database(spark), "documents", "doc_id")
+    return report.select("status", "n_rows", "n_cut")
+
+
+@query(
+    "SELECT doc_id, CAST(65534 + doc_id % 2 AS BIGINT) AS n_bytes FROM documents"
+)
+def truncate_to_widest(spark, sf_dir):
+    """Text of two-byte characters, shifted by a byte in every other row, cut to 65,535 bytes."""
+    docs = table(spark, sf_dir, "documents")
+    wide = F.concat(F.when(F.col("doc_id") % 2 == 1, "x").otherwise(""), F.repeat(F.lit("é"), F.lit(40000)))
+    return docs.select("doc_id", F.octet_length(truncate_utf8(wide, 65535)).cast("bigint").alias("n_bytes"))
+
+
+@query("SELECT * FROM orders")
+def resume_after_high_bound(spark, sf_dir):
+    """A bookmark above all keys reads nothing, and the next resumed copy starts from the beginning."""
+    database, tables = new_database(spark), source(spark, sf_dir, "orders")
+    jobs.copy_tables(tables, database, f"orders:{10**12}", KEYS)
+    jobs.copy_tables(tables, database, "orders", KEYS, resume=True)
+    return Target(spark, database, "orders").read()
+
+
+@query(
+    "SELECT count(*) AS first_rows, CAST(0 AS BIGINT) AS second_rows, max(o_orderkey) AS high_key FROM orders"
+)
+def resume_unsigned_keys(spark, sf_dir):
+    unsigned = "SELECT CAST(o_orderkey AS DECIMAL(20,0)) AS o_orderkey, o_totalprice FROM {orders}"
+    tables, database = derived(spark, sf_dir, orders=unsigned), new_database(spark)
+    first = jobs.copy_tables(tables, database, "orders", KEYS).first()
+    second = jobs.copy_tables(tables, database, "orders", KEYS, resume=True)
+    return second.select(F.lit(first.n_rows).alias("first_rows"), F.col("n_rows").alias("second_rows"), "high_key")
+
+
+@query("SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders")
+def explicit_zero_copies_whole(spark, sf_dir):
+    tables, database = source(spark, sf_dir, "orders"), new_database(spark)
+    jobs.copy_tables(tables, database, "orders", KEYS)
+    return jobs.copy_tables(tables, database, "orders:0", KEYS, resume=True).select("table_name", "n_rows")
+
+
+@query("SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(38,2)) AS VARCHAR) AS price FROM orders")
+def copy_clamped_decimals(spark, sf_dir):
+    exact = "SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(38,2)) AS price FROM {orders}"
+    tables, database = derived(spark, sf_dir, orders=exact), new_database(spark)
+    jobs.copy_tables(tables, database, "orders", KEYS, decimals="clamp")
+    return Target(spark, database, "orders").read().withColumn("price", F.col("price").cast("string"))
+
+
+@query(
+    "SELECT * FROM (VALUES (0, 'c_custkey', 'bigint', 0), (1, 'c_name', 'varchar(255)', 0)) AS t(position, \"column\", type, n_rows)"
+)
+def recreated_columns(spark, sf_dir):
+    tables, database = source(spark, sf_dir, "customer"), new_database(spark)
+    jobs.recreate_tables(tables, database, "customer:c_custkey,c_name")
+    target = Target(spark, database, "customer")
+    rows = [(i, name, kind.simpleString(), target.read().count()) for i, (name, kind) in enumerate(target.columns())]
+    return spark.createDataFrame(rows, "position int, column string, type string, n_rows int")
+
+
 @query(
     "SELECT 'orders' AS table_name, max(o_orderkey) AS high_key FROM orders "
     "UNION ALL SELECT 'part', max(p_partkey) FROM part"

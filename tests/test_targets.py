@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import targets
-from tidemark.operators.layout import Layout, analyzed_rows, bucket_count, estimated_bytes, spread_if_large
+from tidemark.operators.layout import Layout, analyzed_rows, bucket_count, estimated_bytes, spread_by_key
 from tidemark.operators.partitions import Parts
-from tidemark.operators.targets import Segment, State, Target, TooManyRejects, bookmarks, published
+from tidemark.operators.targets import OWNER, Segment, State, Target, TooManyRejects, bookmarks, published
 from tidemark.sources.catalog import table_columns, target_columns
 
 
@@ -81,7 +81,7 @@ def test_empty_loads(spark, target):
     empty = numbered(spark, 0, 0)
     assert target.replace_table(empty, "id").high_key is None
     assert rows(target) == []
-    assert target.replace_tail(empty, "id", 5).high_key == 5
+    assert target.replace_tail(empty, "id", 5).high_key is None
     target.append(numbered(spark, 0, 3))
     target.append(empty)
     assert len(target.state().segments) == 1
@@ -209,6 +209,8 @@ def test_a_lost_take_over_is_completed(spark, target):
     spark.sql(f"CREATE TABLE {target.name} (id bigint, tag varchar(2)) USING parquet")
     numbered(spark, 0, 4).write.insertInto(target.name)
     spark.sql(f"ALTER TABLE {target.name} RENAME TO {target._qualified(target._base)}")
+    assert not target.exists()
+    spark.sql(f"ALTER TABLE {target._qualified(target._base)} SET TBLPROPERTIES ('{OWNER}' = '{target.table}')")
     assert target.exists()
     target.replace_tail(numbered(spark, 3, 6, "b"), "id", 2)
     assert rows(target) == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "b")]
@@ -335,10 +337,10 @@ def test_size_decisions(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     assert 10_000 < estimated_bytes(lines) < 100_000_000
     assert bucket_count(lines) == 1
-    assert "Rebalance" not in spread_if_large(lines, "l_orderkey")._jdf.queryExecution().logical().toString()
-    large = spread_if_large(lines, "l_orderkey", 4, rows=1_000_001)
-    assert "Rebalance" in large._jdf.queryExecution().optimizedPlan().toString()
-    assert spread_if_large(lines, "l_orderkey", 4, rows=1_000_000) is lines
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    assert bucket_count(lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))) <= 8
+    for spread in (spread_by_key(lines, "l_orderkey"), spread_by_key(lines, "l_orderkey", 4)):
+        assert "Rebalance" in spread._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_parts_do_not_change_rows(spark, target):
@@ -369,3 +371,45 @@ def test_a_load_reads_its_source_once(spark, target, layout):
     assert seen.value == 1000
     target.replace_tail(numbered(spark, 500, 1000).mapInPandas(counted, "id bigint, tag string"), "id", 499)
     assert seen.value == 1500
+
+
+def test_foreign_tables_stay(spark, target):
+    """Tables whose names look like segments, but that no load of this target wrote."""
+    foreign = [f"{target.table}__base", f"{target.table}__0123456789ab"]
+    for name in foreign:
+        spark.range(3).write.saveAsTable(target._qualified(name))
+    assert not target.exists()
+    for step in range(5):
+        target.replace_table(numbered(spark, 0, step + 1), "id")
+    assert target.read().count() == 5
+    assert len(target._segment_tables()) == 2
+    target.drop()
+    for name in foreign:
+        assert spark.table(target._qualified(name)).count() == 3
+
+
+def test_a_cut_skips_rows_without_a_layout(spark, target, sf_dir):
+    """Rows are ordered by the bounding key within files, so a cut view hands on little more than what it keeps."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").orderBy(F.rand(1))
+    target.replace_table(lines, "l_orderkey")
+    key = spark.table(target._qualified(target.state().segments[0].table)).select("l_orderkey")
+    files = key.select("l_orderkey", F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"))
+    steps = files.selectExpr("l_orderkey - lag(l_orderkey) OVER (PARTITION BY f ORDER BY i) AS step")
+    assert steps.where("step < 0").count() == 0
+
+
+def test_a_bound_at_the_end_leaves_no_filter(spark, target):
+    target.replace_table(numbered(spark, 0, 10), "id")
+    for _ in range(2):
+        target.replace_tail(numbered(spark, 0, 0), "id", 9)
+    assert [s.keep for s in target.state().segments] == [None]
+    assert target.state().high == 9
+
+
+def test_cut_values_are_counted_and_nested_ones_rejected(spark, target):
+    frame = spark.range(6).selectExpr("id", "repeat('x', cast(id as int) * 60) AS tag", "array_repeat(id, cast(id as int)) AS list")
+    loaded = target.replace_table(frame, "id", string_width=120, other_width=65535)
+    assert (loaded.n_rows, loaded.n_rejects, loaded.n_cut) == (6, 0, 3)
+    loaded = target.replace_table(frame, "id", string_width=300, other_width=9, max_errors=3)
+    assert (loaded.n_rows, loaded.n_rejects, loaded.n_cut) == (5, 1, 0)
+    assert target.replace_table(frame, "id", string_width=1000).n_cut == 0

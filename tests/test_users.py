@@ -6,20 +6,11 @@ from pyspark.sql import types as T
 from tidemark.operators.targets import Target
 from tidemark.plans import jobs
 
-# The columns of the wide table by type, and the selected fields.
-BOOLEANS = (
-    "enable_order_and_forget is_business email_verified verified is_blocked phone_verified tos_accepted"
-).split()
-TIMESTAMPS = "first_app_launched_at created_at updated_at first_app_installed_at deleted_at".split()
-TEXTS = (
-    "id name first_name last_name email password phone_number country_code business_name account_type api_token "
-    "api_token_expire_at android_token ios_token device_token device_type device_id remember_token signup_region_id "
-    "default_payment_method verification_type verification_code phone_verify_token version tos_accepted_at"
-).split()
-SELECTED = (
-    "id first_name last_name email phone_number phone_verified email_verified account_type created_at country_code "
-    "business_name is_business is_blocked deleted_at"
-).split()
+# Every customer column five times over, by type: text, a time or a flag made from it.
+TEXTS = ["id", *(f"text_{i}" for i in range(24))]
+TIMESTAMPS = [f"time_{i}" for i in range(5)]
+BOOLEANS = [f"flag_{i}" for i in range(7)]
+SELECTED = ["id", *(f"text_{i}" for i in range(0, 24, 3)), "flag_0", "flag_3", "flag_5", "time_1", "time_4"]
 
 WIDE = (
     [(name, T.VarcharType(256)) for name in TEXTS]
@@ -51,5 +42,5 @@ def test_users(spark, database, sf_dir):
     assert first.n_rows == second.n_rows == frame.count()
     assert target.columns() == narrow
     row = target.read().where("id = 6").first()
-    assert (row.first_name, row.is_business, row.created_at.second) == ("first_name Customer#000000006", True, 6)
+    assert (row.text_0, row.flag_0, row.time_1.second) == ("text_0 Customer#000000006", True, 6)
     assert target.read().count() == frame.count()

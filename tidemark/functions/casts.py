@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from tidemark.functions.text import truncate_utf8
 
 SIZED_TEXT = (T.VarcharType, T.CharType)
+NESTED = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
 
 _INTEGRAL_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
 _INTEGRAL_ORDER = [T.ByteType, T.ShortType, T.IntegerType, T.LongType]
@@ -43,7 +44,7 @@ def never_fails(source: T.DataType, to: T.DataType) -> bool:
 
 def as_text(value: Column, source: T.DataType) -> Column:
     """Text form of any value: JSON for nested types, Base64 for bytes."""
-    if isinstance(source, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+    if isinstance(source, NESTED):
         return F.to_json(value, {"ignoreNullFields": "false"})
     if isinstance(source, T.BinaryType):
         return F.base64(value)

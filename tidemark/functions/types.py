@@ -57,6 +57,12 @@ def is_mapped(source: str | T.DataType) -> bool:
     return isinstance(parsed, (T.TimestampType, T.TimestampNTZType, *_KEPT)) or type(parsed) is T.StringType
 
 
+def declared_text(field: T.StructField) -> T.VarcharType | None:
+    """Text of the width that a source table declares for a column, whose values Spark reads as strings."""
+    declared = field.metadata.get("__CHAR_VARCHAR_TYPE_STRING")
+    return T.VarcharType(T.DataType.fromDDL(declared).length) if declared else None
+
+
 def target_type(
     source: str | T.DataType, string_width: int = STRING_WIDTH, other_width: int = WIDE_WIDTH
 ) -> T.DataType:

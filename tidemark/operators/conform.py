@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import types
-from tidemark.functions.casts import SIZED_TEXT, cast_or_fail, conformed, never_fails
+from tidemark.functions.casts import NESTED, SIZED_TEXT, as_text, cast_or_fail, conformed, never_fails
 from tidemark.functions.text import column
 
 # Fixed value: the type MySQL-style connectors give to unsigned 64-bit integers.
 UNSIGNED_LONG = T.DecimalType(20, 0)
 
-REJECTED = "_rejected"
+REJECTED, CUT = "_rejected", "_cut"
 
 Columns = list[tuple[str, T.DataType]]
 
@@ -69,7 +69,10 @@ def target_schema(
     frame: DataFrame, string_width: int = types.STRING_WIDTH, other_width: int = types.WIDE_WIDTH
 ) -> Columns:
     """Target columns for a frame."""
-    return [(f.name, types.target_type(f.dataType, string_width, other_width)) for f in frame.schema.fields]
+    return [
+        (f.name, types.declared_text(f) or types.target_type(f.dataType, string_width, other_width))
+        for f in frame.schema.fields
+    ]
 
 
 def unmapped_columns(frame: DataFrame) -> list[str]:
@@ -79,9 +82,11 @@ def unmapped_columns(frame: DataFrame) -> list[str]:
 
 def _misfit(field: T.StructField, to: T.DataType) -> Column | None:
     """Whether a value has no counterpart in ``to``; None if that cannot happen."""
+    value = column(field.name)
+    if isinstance(field.dataType, NESTED) and isinstance(to, SIZED_TEXT):
+        return F.coalesce(F.octet_length(as_text(value, field.dataType)) > to.length, F.lit(False))
     if never_fails(field.dataType, to):
         return None
-    value = column(field.name)
     return value.isNotNull() & conformed(value, field.dataType, to).isNull()
 
 
@@ -100,11 +105,23 @@ def _rejected(matched: list[tuple[str, T.DataType, T.StructField | None]]) -> Co
     return reduce(or_, misfits) if misfits else None
 
 
-def align(frame: DataFrame, columns: Columns) -> DataFrame:
-    """The target's columns in the target's order and types, plus a reject flag where casts can fail.
+def _cut(matched: list[tuple[str, T.DataType, T.StructField | None]]) -> Column | None:
+    """How many values of a row lose text to a column's width; None if there is no such column."""
+    cut = [
+        F.coalesce((F.octet_length(as_text(column(field.name), field.dataType)) > to.length).cast("int"), F.lit(0))
+        for _, to, field in matched
+        if field is not None and isinstance(to, SIZED_TEXT) and isinstance(field.dataType, (T.StringType, T.BinaryType))
+    ]
+    return reduce(add, cut) if cut else None
+
+
+def align(frame: DataFrame, columns: Columns, count_cut: bool = False) -> DataFrame:
+    """The target's columns in the target's order and types.
 
-    A target column the frame lacks becomes NULL; a frame column the target lacks is an error. A row is
-    rejected if one of its values has no counterpart in the column's type; text is not rejected but cut.
+    A reject flag is added where casts can fail, and if asked for the number of cut values where text can be. A target
+    column the frame lacks becomes NULL; a frame column the target lacks is an error. A row is rejected if
+    one of its values has no counterpart in the column's type; text is not rejected but cut, except for the
+    JSON of a nested value, which would be broken.
     """
     matched = _matched(frame, columns)
     selected = [
@@ -116,6 +133,9 @@ def align(frame: DataFrame, columns: Columns) -> DataFrame:
     rejected = _rejected(matched)
     if rejected is not None:
         selected.append(rejected.alias(REJECTED))
+    cut = _cut(matched) if count_cut else None
+    if cut is not None:
+        selected.append(cut.alias(CUT))
     return frame.select(*selected)
 
 

@@ -9,11 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.text import column, quoted
 from tidemark.operators.partitions import Parts, spread
 
-# Fixed value: tables above this many rows are spread by key before a write.
-LARGE_ROWS = 1_000_000
-# The same decision where only a size estimate is known.
-LARGE_BYTES = 128 << 20
-
+# Bounds on the number of files of a distributed table: its input by bucket, few for small input.
 _BUCKET_BYTES = 128 << 20
 _MAX_BUCKETS = 65_536
 _SMALL_BUCKETS, _SMALL_BUCKET_BYTES = 8, 1 << 20
@@ -40,8 +36,12 @@ class Layout:
 
 
 def estimated_bytes(frame: DataFrame) -> int | None:
-    """Spark's own size estimate for a frame, None where it has none (some database scans)."""
-    size = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """The size of what a frame reads, None where Spark has none (some database scans).
+
+    Sources are added up; Spark's estimate for a join, the product of its sides, says nothing about rows.
+    """
+    leaves = frame._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
     return size if size < 1 << 60 else None
 
 
@@ -65,36 +65,25 @@ def analyzed_rows(spark: SparkSession, table: str) -> int | None:
     return None
 
 
-def spread_if_large(
-    frame: DataFrame, key: str, parts: int | None = None, rows: int | None = None
-) -> DataFrame:
-    """Hash-distribute large inputs by key; small ones are written as they are.
+def spread_by_key(frame: DataFrame, key: str, parts: int | None = None) -> DataFrame:
+    """Rows distributed by key, all of a key together unless it is too large for one file.
 
-    The size comes from ``rows`` if known, else from Spark's estimate, never from a count. Without
-    ``parts`` the number of files follows from the shuffled bytes at run time.
+    Without ``parts`` the number of files follows from the shuffled bytes at run time, so small input ends
+    up in few files without a switch.
     """
-    if rows is not None:
-        large = rows > LARGE_ROWS
-    else:
-        size = estimated_bytes(frame)
-        large = size is None or size > LARGE_BYTES
-    if not large:
-        return frame
-    if parts is not None:
-        return spread(frame, Parts(key, parts))
-    return frame.hint("rebalance", column(key))
-
-
-def lay_out(frame: DataFrame, layout: Layout, parts: Parts | None = None) -> DataFrame:
+    return frame.hint("rebalance", column(key)) if parts is None else spread(frame, Parts(key, parts))
+
+
+def lay_out(frame: DataFrame, layout: Layout, parts: Parts | None = None, order: str | None = None) -> DataFrame:
     """Distribute and order rows for a write, with one shuffle at most.
 
     With a distribution key the shuffle uses the buckets' own hash, so each task writes whole buckets
     and there are about as many files as buckets. A bucket with a hot key is split over several tasks.
+    Without a layout, rows are ordered by ``order`` within each file, so that a bound on it skips data.
     """
     if layout.dist_key is not None:
         return spread(frame, Parts(layout.dist_key, layout.buckets))
     if parts is not None and parts.count > 1:
         frame = spread(frame, parts)
-    if layout.sort_key:
-        frame = frame.sortWithinPartitions(*[column(name) for name in layout.sort_key])
-    return frame
+    by = layout.sort_key or ((order,) if order else ())
+    return frame.sortWithinPartitions(*[column(name) for name in by]) if by else frame

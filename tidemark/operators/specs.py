@@ -88,7 +88,7 @@ def named_specs(frame: DataFrame, text: str, keys: list[str]) -> DataFrame:
 def bookmark_entries(frame: DataFrame, text: str) -> DataFrame:
     """One row per entry of a ``name:bookmark,name`` list, flagged valid or not.
 
-    A name without bookmark starts at 0. Invalid are names that are no identifiers, bookmarks that are
+    A name without bookmark starts at 0, and ``given`` tells it from an explicit 0. Invalid are names that are no identifiers, bookmarks that are
     no integers, and entries with more than one colon; their bookmark is NULL.
     """
     others = [column(name) for name in frame.columns if name != text]
@@ -108,11 +108,13 @@ def bookmark_entries(frame: DataFrame, text: str) -> DataFrame:
         "name",
         F.when((F.col("_count") <= 2) & F.col("name").rlike(IDENTIFIER), bookmark).alias("bookmark"),
     )
-    return rows.withColumn("valid", F.col("bookmark").isNotNull())
+    return rows.withColumns({"valid": F.col("bookmark").isNotNull(), "given": F.size(F.split("entry", ":")) > 1})
 
 
-def last_bookmarks(entries: DataFrame, order: Sequence[str] = ("pos",), within: Sequence[str] = ()) -> DataFrame:
-    """One row per valid name: its last bookmark in ``order``, at the place of its first mention.
+def last_bookmarks(
+    entries: DataFrame, order: Sequence[str] = ("pos",), within: Sequence[str] = (), also: Sequence[str] = ()
+) -> DataFrame:
+    """One row per valid name: its last bookmark (and columns ``also``) in ``order``, at the place of its first mention.
 
     Repeated names are reduced before the shuffle, so a name may be repeated without limit.
     """
@@ -120,12 +122,13 @@ def last_bookmarks(entries: DataFrame, order: Sequence[str] = ("pos",), within:
     return (
         entries.where(column("valid"))
         .groupBy(*[column(name) for name in within], "name")
-        .agg(F.max_by("bookmark", place).alias("bookmark"), F.min(place).alias("place"))
+        .agg(F.max_by(F.struct("bookmark", *also), place).alias("last"), F.min(place).alias("place"))
         .select(
             *[column(name) for name in within],
             *([F.col("place").alias(order[0])] if len(order) == 1 else ["place.*"]),
             "name",
-            "bookmark",
+            "last.bookmark",
+            *(f"last.{name}" for name in also),
         )
     )
 

@@ -24,14 +24,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import column, quoted, sql_string
-from tidemark.functions.types import parse_type
-from tidemark.operators.conform import REJECTED, Columns, align, target_schema
+from tidemark.functions.types import STRING_WIDTH, WIDE_WIDTH, parse_type
+from tidemark.operators.conform import CUT, REJECTED, Columns, align, target_schema
 from tidemark.operators.layout import Layout, lay_out
 from tidemark.operators.partitions import Parts
 from tidemark.operators.scans import kept_op
 from tidemark.sources.catalog import table_columns
 
-STATE = "tidemark.state"
+STATE, OWNER = "tidemark.state", "tidemark.owner"
+#: Segments a target may have before a load merges the newest.
 MAX_SEGMENTS = 16
 
 
@@ -46,22 +47,29 @@ class Loaded:
     n_rows: int
     n_rejects: int
     high_key: int | None
+    n_cut: int = 0
 
 
 @dataclass(frozen=True)
 class Segment:
-    """A written table; ``keep`` bounds the rows still valid, ``low`` is the lowest key if all have one."""
+    """A written table; ``keep`` bounds the rows still valid.
+
+    ``low`` is the lowest key if all rows have one, ``high`` the highest one.
+    """
 
     table: str
     low: int | None = None
     keep: tuple[str, int] | None = None
     rows: int | None = None
+    high: int | None = None
 
     def cut(self, keep: tuple[str, int]) -> Segment | None:
         """This segment below a bound, None if nothing of it is left."""
         op, bound = keep
         if self.low is not None and (self.low > bound if op == "<=" else self.low >= bound):
             return None
+        if self.high is not None and (self.high <= bound if op == "<=" else self.high < bound):
+            return self
         # At the same bound "<" leaves less than "<=", and it also sorts first.
         return replace(self, keep=min(keep, self.keep or keep, key=lambda k: (k[1], k[0])))
 
@@ -79,7 +87,7 @@ class State:
     @staticmethod
     def load(text: str) -> State:
         raw = json.loads(text)
-        segments = tuple(Segment(s["table"], s["low"], s["keep"] and tuple(s["keep"]), s["rows"]) for s in raw["segments"])
+        segments = tuple(Segment(s["table"], s["low"], s["keep"] and tuple(s["keep"]), s["rows"], s.get("high")) for s in raw["segments"])
         layout = Layout(tuple(raw["layout"]["sort_key"]), raw["layout"]["dist_key"], raw["layout"]["buckets"])
         return State(segments, raw["key"], raw["high"], layout)
 
@@ -98,11 +106,21 @@ class Target:
     # -- reading ---------------------------------------------------------------------------------
 
     def exists(self) -> bool:
-        return self._is_there(self.table) or self._is_there(self._base)
+        return self._is_there(self.table) or self._is_own(self._base)
 
     def _is_there(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self._qualified(table))
 
+    def _is_own(self, table: str) -> bool:
+        """Whether a table was written, or taken over, for this target."""
+        if not self._is_there(table):
+            return False
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self._qualified(table)}").collect()
+        return any(row.key == OWNER and row.value == self.table.lower() for row in rows)
+
+    def _owner(self) -> str:
+        return f"{sql_string(OWNER)} = {sql_string(self.table.lower())}"
+
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -131,8 +149,11 @@ class Target:
         if self._is_there(self.table):
             if self._is_view():
                 return None
+            if self._is_there(self._base):
+                raise ValueError(f"{self.name} cannot be taken over: there is a table {self._base}")
+            self.spark.sql(f"ALTER TABLE {self.name} SET TBLPROPERTIES ({self._owner()})")
             self.spark.sql(f"ALTER TABLE {self.name} RENAME TO {self._qualified(self._base)}")
-        elif not self._is_there(self._base):
+        elif not self._is_own(self._base):
             return None
         state = State((Segment(self._base),))
         self._publish(state)
@@ -171,12 +192,19 @@ class Target:
         key: str | None = None,
         layout: Layout = Layout(),
         columns: Columns | None = None,
+        string_width: int = STRING_WIDTH,
+        other_width: int = WIDE_WIDTH,
         **options,
     ) -> Loaded:
-        """Rows, columns and layout replaced, whether or not the table exists."""
+        """Rows, columns and layout replaced, whether or not the table exists.
+
+        Without ``columns``, text of no declared width gets ``string_width`` bytes, other types without one of
+        their own ``other_width``; the result counts the values that were cut.
+        """
         self._adopt()
         layout = layout.sized_for(frame)
-        segment, loaded = self._write(frame, columns or target_schema(frame), layout, key, **options)
+        columns = columns or target_schema(frame, string_width, other_width)
+        segment, loaded = self._write(frame, columns, layout, key, **options)
         self._publish(State((segment,), key, loaded.high_key, layout))
         return loaded
 
@@ -184,16 +212,22 @@ class Target:
         self, frame: DataFrame, key: str, start: int, delete_op: str = ">", **options
     ) -> Loaded:
         """Rows with ``key > start`` (or ``>=``) replaced by ``frame``; rows without a key stay."""
-        state = self._folded(self._current())
+        state = self._current()
         if state.key not in (None, key):
             raise ValueError(f"{self.name} is bounded by {state.key}, not by {key}")
         if key not in (name for name, _ in self.columns()):
             raise ValueError(f"{self.name} has no column {key}")
         if key not in frame.columns:
             raise ValueError(f"the rows for {self.name} have no column {key}, so no later load could replace them")
+        state = self._folded(state)
         segment, loaded = self._write(frame, self.columns(), state.layout, key, **options)
         kept = [old.cut((kept_op(delete_op), start)) for old in state.segments]
-        high = start if loaded.high_key is None else max(start, loaded.high_key)
+        # what was read, never the bound itself: keys up to a bound above the data are still to come
+        last = start if kept_op(delete_op) == "<=" else start - 1
+        highs = [loaded.high_key] if loaded.high_key is not None else []
+        if state.high is not None and any(old is not None and old.rows != 0 for old in kept):
+            highs.append(min(state.high, last))
+        high = max(highs, default=None)
         self._publish(replace(state, segments=_joined(kept, segment), key=key, high=high))
         return replace(loaded, high_key=high)
 
@@ -211,7 +245,7 @@ class Target:
         state = self._folded(self._current())
         segment, loaded = self._write(frame, self.columns(), state.layout, state.key or key, **options)
         if state.key is None:
-            segment = replace(segment, low=None)
+            segment = replace(segment, low=None, high=None)
         highs = [h for h in (state.high, loaded.high_key) if h is not None]
         self._publish(
             replace(
@@ -266,13 +300,14 @@ class Target:
 
     def _segment_tables(self) -> list[str]:
         own = re.compile(re.escape(self.table.lower()) + r"__(base|[0-9a-f]{12})")
+        # a name alone proves nothing: tables without the owner property are someone else's
         tables = self.spark.sql(f"SHOW TABLES IN {quoted(self.database)} LIKE {sql_string(self.table + '__*')}")
-        return [row.tableName for row in tables.collect() if own.fullmatch(row.tableName)]
+        return [row.tableName for row in tables.collect() if own.fullmatch(row.tableName) and self._is_own(row.tableName)]
 
     def _create(self, columns: Columns, layout: Layout) -> str:
         name = self._segment_name()
         fields = ", ".join(f"{quoted(n)} {t.simpleString()}" for n, t in columns)
-        self.spark.sql(f"CREATE TABLE {self._qualified(name)} ({fields}) USING parquet{layout.ddl()}")
+        self.spark.sql(f"CREATE TABLE {self._qualified(name)} ({fields}) USING parquet{layout.ddl()} TBLPROPERTIES ({self._owner()})")
         return name
 
     def _write(
@@ -290,17 +325,20 @@ class Target:
         Counts are observed in the writing stage itself, after any shuffle: there Spark counts each
         task once, however often lost tasks are run again.
         """
-        aligned = align(frame, columns)
+        aligned = align(frame, columns, count_cut=True)
         flagged = REJECTED in aligned.columns
         good = ~column(REJECTED) if flagged else F.lit(True)
-        ranged = key is not None and _is_whole(aligned, key)
+        ranged = key is not None and is_whole(aligned, key)
         metrics = [F.count_if(good).alias("n_rows"), F.count_if(~good).alias("n_rejects")]
+        if CUT in aligned.columns:
+            metrics.append(F.coalesce(F.sum(F.when(good, column(CUT))), F.lit(0)).alias("n_cut"))
         if ranged:
             value = F.when(good, column(key))
             metrics += [F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n_keys")]
         observation = Observation()
-        observed = lay_out(aligned, layout, parts).observe(observation, *metrics)
-        rows = observed.where(good).drop(REJECTED) if flagged else observed
+        order = key if key in aligned.columns else None
+        observed = lay_out(aligned, layout, parts, order).observe(observation, *metrics)
+        rows = observed.where(good).drop(REJECTED, CUT) if flagged else observed.drop(CUT)
         segment = self._create(columns, layout)
         try:
             rows.write.insertInto(self._qualified(segment))
@@ -314,8 +352,8 @@ class Target:
             raise
         low, high = (_whole(seen["low"]), _whole(seen["high"])) if ranged else (None, None)
         keyed = ranged and seen["n_keys"] == seen["n_rows"]
-        written = Segment(segment, low if keyed else None, rows=seen["n_rows"])
-        return written, Loaded(seen["n_rows"], seen["n_rejects"], high)
+        written = Segment(segment, low if keyed else None, rows=seen["n_rows"], high=high if keyed else None)
+        return written, Loaded(seen["n_rows"], seen["n_rejects"], high, seen.get("n_cut") or 0)
 
     def _analyze(self, segment: str, columns: list[str] | None) -> None:
         if columns is None:
@@ -379,7 +417,7 @@ def _merge_start(rows: list[int | None]) -> int:
     return start
 
 
-def _is_whole(frame: DataFrame, key: str) -> bool:
+def is_whole(frame: DataFrame, key: str) -> bool:
     """Whether keys are whole numbers, which is what bounds and bookmarks are."""
     if key not in frame.columns:
         return False

@@ -12,12 +12,16 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions import types
+from tidemark.functions.casts import cast_or_fail
+from tidemark.functions.text import column
 from tidemark.operators import conform, scans, specs
 from tidemark.operators.layout import Layout
 from tidemark.operators.partitions import Parts
-from tidemark.operators.targets import Loaded, Target
+from tidemark.operators.targets import Loaded, Target, is_whole
 from tidemark.sources.catalog import CatalogSource, target_columns
 from tidemark.sources.jdbc import JdbcSource
 
@@ -25,7 +29,7 @@ log = logging.getLogger(__name__)
 
 REPORT = (
     "table_name string, status string, n_rows bigint, n_rejects bigint, high_key bigint, "
-    "as_text array<string>, error string"
+    "as_text array<string>, error string, n_cut bigint"
 )
 
 Source = CatalogSource | JdbcSource
@@ -54,17 +58,23 @@ def table_specs(spark: SparkSession, text: str, keys: list[str], kinds: list[str
     return sorted(rows, key=lambda row: row.pos)
 
 
-def bookmark_list(spark: SparkSession, text: str) -> dict[str, int]:
+def bookmark_list(spark: SparkSession, text: str, given_only: bool = False) -> dict[str, int | None]:
     """The bookmark of each table of a copy job (the last one given counts), in order of first mention.
 
-    If any entry is invalid, the error names all that are.
+    With ``given_only``, a name without bookmark has None in place of 0. If any entry is invalid, the error
+    names all that are. Names that the session takes for the same table are one, as first written.
     """
-    entries = specs.bookmark_entries(_text_table(spark, text), "spec").collect()
-    entries.sort(key=lambda row: row.pos)
-    invalid = [row.entry for row in entries if not row.valid]
+    entries = specs.bookmark_entries(_text_table(spark, text), "spec")
+    invalid = sorted(entries.where("NOT valid").collect(), key=lambda row: row.pos)
     if invalid:
-        raise InvalidTables(f"invalid tables: {', '.join(repr(entry) for entry in invalid)}")
-    return {row.name: row.bookmark for row in entries}
+        raise InvalidTables(f"invalid tables: {', '.join(repr(row.entry) for row in invalid)}")
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    found: dict[str, int | None] = {}
+    rows = specs.last_bookmarks(entries.withColumn("name", F.col("name") if exact else F.lower("name")), also=["given"])
+    spelled = {row.pos: row.name for row in entries.select("pos", "name").collect()}
+    for row in sorted(rows.collect(), key=lambda row: row.pos):
+        found[spelled[row.pos]] = row.bookmark if row.given or not given_only else None
+    return found
 
 
 def partition_configs(spark: SparkSession, text: str) -> dict[str, Parts]:
@@ -83,18 +93,24 @@ def _key_of(keys: Keys, name: str) -> str:
 
 
 def _ok(name: str, loaded: Loaded, as_text: list[str] | None = None) -> tuple:
-    return (name, "ok", loaded.n_rows, loaded.n_rejects, loaded.high_key, as_text or [], None)
+    return (name, "ok", loaded.n_rows, loaded.n_rejects, loaded.high_key, as_text or [], None, loaded.n_cut)
 
 
-def recreate_tables(source: CatalogSource, database: str, tables: str) -> DataFrame:
+def recreate_tables(
+    source: CatalogSource,
+    database: str,
+    tables: str,
+    string_width: int = types.STRING_WIDTH,
+    other_width: int = types.WIDE_WIDTH,
+) -> DataFrame:
     """Empty targets with the sources' columns in target types.
 
-    Entries are ``name:columns:sort_key:dist_key``. The first error stops the job.
+    Text of no declared width gets ``string_width`` bytes, types without one of their own ``other_width``. Entries are ``name:columns:sort_key:dist_key``. The first error stops the job.
     """
     spark, report = source.spark, []
     keys = ["name", "columns", "sort_key", "dist_key"]
     for spec in table_specs(spark, tables, keys, ["str", "list", "list", "str"]):
-        columns = target_columns(spark, source.identifier(spec.name), spec.columns)
+        columns = target_columns(spark, source.identifier(spec.name), spec.columns, string_width, other_width)
         layout = Layout(tuple(spec.sort_key or ()), spec.dist_key).sized_for(source.read(spec.name))
         Target(spark, database, spec.name).recreate([(n, types.parse_type(t)) for n, t in columns], layout)
         report.append(_ok(spec.name, Loaded(0, 0, None)))
@@ -124,9 +140,8 @@ def update_tables(
         frame = scans.scan(source.read(spec.name, split, key, spec.start_id), spec.columns, key, spec.start_id)
         frame = conform.unsigned_longs_to_long(frame)
         target = Target(spark, database, spec.name)
-        # A database is read in parts already; files are read as they lie, so their rows are spread here.
-        spread = split if isinstance(source, CatalogSource) and split and split.field in frame.columns else None
-        options = {"parts": spread, "max_errors": max_errors}
+        # Parts are for reading from a database; files are split as they lie, and their rows need no shuffle.
+        options = {"max_errors": max_errors}
         if spec.start_id and spec.start_id > 0:
             loaded = target.replace_tail(frame, key, spec.start_id, delete_op, **options)
         else:
@@ -144,22 +159,33 @@ def copy_table(
     parts: Parts | None = None,
     positive_keys_only: bool = False,
     max_errors: int = 1,
+    string_width: int = types.STRING_WIDTH,
+    other_width: int = types.WIDE_WIDTH,
+    decimals: str = "double",
 ) -> tuple[Loaded, list[str]]:
     """Copy one table whole (no bookmark), or replace its target above the bookmark.
 
-    Decimals become doubles, and columns of unmapped types become text, which the second result lists.
+    Decimals become doubles, or stay exact within the target's precision with ``decimals="clamp"``; an unsigned
+    long as key becomes a bigint. Text wider than ``string_width`` bytes is cut and counted, a nested
+    value whose JSON is wider than ``other_width`` is rejected. Columns of unmapped types become text, which the second result lists.
     The target is distributed and sorted by the key. ``positive_keys_only`` makes a whole copy leave
     out keys below 1 and rows without a key, as a bookmark of 0 would.
     """
     if not source.exists(name):
-        raise ValueError(f"Table {name} does not exist in source database")
+        raise ValueError(f"the source has no table {name}")
     frame = source.read(name, parts, key, bookmark)
     if key not in frame.columns:
         raise ValueError(f"Table {name} has no column {key}")
     if bookmark is not None or positive_keys_only:
         frame = scans.after_key(frame, key, bookmark or 0)
-    frame = conform.decimals_to_double(frame)
-    columns = conform.target_schema(frame, other_width=types.STRING_WIDTH)
+    if decimals not in ("double", "clamp"):
+        raise ValueError("decimals is 'double' or 'clamp'")
+    if not is_whole(frame, key):
+        raise ValueError(f"the key {key} of table {name} is not a whole number")
+    if isinstance(frame.schema[key].dataType, T.DecimalType):
+        frame = frame.withColumn(key, cast_or_fail(column(key), T.LongType(), key))
+    frame = conform.decimals_to_double(frame) if decimals == "double" else conform.clamp_decimals(frame)
+    columns = conform.target_schema(frame, string_width, other_width)
     target, layout = Target(source.spark, database, name), Layout((key,), key)
     if bookmark is None or not target.exists():
         loaded = target.replace_table(frame, key, layout, columns, max_errors=max_errors)
@@ -182,25 +208,26 @@ def copy_tables(
     """Copy tables independently of each other: one that fails is reported and the others go on.
 
     Entries are ``name:bookmark`` or ``name``; a bookmark of 0 copies the whole table. With ``resume``, a
-    table listed without a bookmark goes on above the highest key its target has. Small tables leave a
+    table listed without a bookmark goes on above the highest key its target has; ``options`` are those of
+    ``copy_table``. Small tables leave a
     cluster idle, so several are copied at a time; each is one job of its own.
     """
     spark = source.spark
-    listed = bookmark_list(spark, tables)
+    listed = bookmark_list(spark, tables, given_only=True)
     parts = partition_configs(spark, partitions)
 
     def attempt(name: str) -> tuple:
         bookmark = listed[name] or None
         try:
             key = _key_of(keys, name)
-            if resume and bookmark is None:
+            if resume and listed[name] is None:
                 state = Target(spark, database, name).state()
                 bookmark = state.high if state is not None and state.key == key else None
             loaded, as_text = copy_table(source, database, name, bookmark, key, parts.get(name), **options)
             return _ok(name, loaded, as_text)
         except Exception as error:
             log.error("copying %s failed: %s", name, error)
-            return (name, "failed", None, None, None, [], str(error))
+            return (name, "failed", None, None, None, [], str(error), None)
 
     with ThreadPoolExecutor(max(1, min(max_concurrent, len(listed)))) as pool:
         report = list(pool.map(inheritable_thread_target(spark)(attempt), listed))

@@ -22,12 +22,16 @@ def table_columns(spark: SparkSession, table: str) -> list[tuple[str, str]]:
 
 
 def target_columns(
-    spark: SparkSession, table: str, included: list[str] | None = None
+    spark: SparkSession,
+    table: str,
+    included: list[str] | None = None,
+    string_width: int = types.STRING_WIDTH,
+    other_width: int = types.WIDE_WIDTH,
 ) -> list[tuple[str, str]]:
     """Catalog columns with their target types; ``included`` filters by exact name, ``*`` means all."""
     everything = not included or "*" in included
     return [
-        (name, types.target_type(declared).simpleString())
+        (name, types.target_type(declared, string_width, other_width).simpleString())
         for name, declared in table_columns(spark, table)
         if everything or name in included
     ]

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+BROKEN = "_corrupt_record"
+
 
 def read_json(
     spark: SparkSession,
@@ -27,6 +30,28 @@ def read_json(
     return reader.json(paths)
 
 
+def read_json_or_reject(
+    spark: SparkSession, paths: str | list[str], schema: StructType, recursive: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(records of the schema, lines that are no such record as ``record``), both from one kind of scan.
+
+    A line that does not parse, or has a value of another type, is a reject, not a row of NULLs.
+    """
+    whole = StructType([*schema.fields]).add(BROKEN, "string")
+    lines = spark.read.option("recursiveFileLookup", str(recursive).lower()).text(paths).where("trim(value) <> ''")
+    parsed = F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    records = lines.select("value", parsed.alias("parsed"))
+    fits = F.col("parsed").isNotNull() & F.col(f"parsed.{BROKEN}").isNull()
+    good = records.where(fits).select("parsed.*").drop(BROKEN)
+    return good, records.where(~fits).select(F.col("value").alias("record"))
+
+
+def schema_report(frame: DataFrame) -> DataFrame:
+    """(position, column, type) of a frame's columns."""
+    rows = [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(frame.schema.fields)]
+    return frame.sparkSession.createDataFrame(rows, "position int, column string, type string")
+
+
 def preview(frame: DataFrame, n: int = 5) -> DataFrame:
     """Any ``n`` rows."""
     return frame.limit(n)
