@@ -24,7 +24,7 @@ from tidemark.functions.text import quoted, sql_string, truncate_utf8
 from tidemark.operators import conform, scans, specs
 from tidemark.operators.layout import Layout, spread_by_key
 from tidemark.operators.partitions import Parts, part_of, spread
-from tidemark.operators.targets import Target, bookmarks
+from tidemark.operators.targets import Target, TooManyRejects, bookmarks
 from tidemark.plans import jobs
 from tidemark.sources.catalog import CatalogSource, target_columns
 from tidemark.sources.files import preview, read_json, read_json_or_reject, schema_report
@@ -292,6 +292,28 @@ def load_within_reject_limit(spark, sf_dir):
     return target.read()
 
 
+@query(f"SELECT * FROM ({_DIRTY_EVENTS}) WHERE TRY_CAST(value AS DOUBLE) IS NULL AND value IS NOT NULL")
+def kept_rejects(spark, sf_dir):
+    """The rows that a load left out, from its side table."""
+    target = new_target(spark, "events")
+    target.recreate(_EVENT_COLUMNS)
+    target.replace_rows(_dirty_events(spark, sf_dir), "event_id", max_errors=1 << 62)
+    return target.rejects().select(F.from_json("record", "event_id bigint, value string").alias("r")).select("r.*")
+
+
+@query("SELECT event_id, value FROM events WHERE event_id % 10 <> 0")
+def refused_load_keeps_rows(spark, sf_dir):
+    """A load with too many rejects leaves what the one before it published."""
+    target = new_target(spark, "events")
+    clean = table(spark, sf_dir, "events").where("event_id % 10 <> 0").select("event_id", "value")
+    target.replace_table(clean, "event_id")
+    try:
+        target.replace_rows(_dirty_events(spark, sf_dir), "event_id", max_errors=2)
+    except TooManyRejects:
+        return target.read()
+    raise AssertionError("the load was not refused")
+
+
 # -- specification strings -----------------------------------------------------------------------------
 
 
@@ -707,17 +729,18 @@ def stored_bookmarks(spark, sf_dir):
     return bookmarks(spark, database)
 
 
-@query("SELECT event_id, user_id, event_type, value FROM events")
+@query("SELECT event_id, user_id, event_type, CAST(epoch_us(ts) AS BIGINT) AS ts, value, props FROM events")
 def resume_from_files(spark, sf_dir):
     database = new_database(spark)
     folder = f"{shared_folder(spark)}/{database}_files"
-    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    schema, loaded = events.schema, f"{quoted(database)}.events"
+    events = table(spark, sf_dir, "events")
+    events = events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"))
+    schema, loaded = _EVENTS, f"{quoted(database)}.events"
     for arrived in (F.col("event_id") < START, F.col("event_id") >= START):
         events.where(arrived).write.mode("append").json(f"{folder}/in")
         load_new_files(spark, f"{folder}/in", schema, loaded, f"{folder}/seen")
     load_new_files(spark, f"{folder}/in", schema, loaded, f"{folder}/seen")
-    return spark.table(loaded)
+    return _with_micros(spark.table(loaded))
 
 
 # -- contract ------------------------------------------------------------------------------------------

@@ -136,6 +136,11 @@ def test_reject_limit(spark, target):
     loaded = target.replace_rows(data, "id", max_errors=3)
     assert (loaded.n_rows, loaded.n_rejects, loaded.high_key) == (2, 2, 1)
     assert rows(target) == [(1, "abc"), (None, "c")]
+    kept = sorted(row.record for row in target.rejects().collect())
+    assert kept == ['{"id":"99999999999","tag":"d"}', '{"id":"x","tag":"b"}']
+    assert len({row.segment for row in target.rejects().collect()}) == 1
+    target.drop()
+    assert target.rejects().count() == 0
 
 
 def test_counts_survive_failed_tasks(spark, target):

@@ -16,7 +16,7 @@ from tidemark.functions.text import column
 # Fixed value: the type MySQL-style connectors give to unsigned 64-bit integers.
 UNSIGNED_LONG = T.DecimalType(20, 0)
 
-REJECTED, CUT = "_rejected", "_cut"
+REJECTED, CUT, RECORD = "_rejected", "_cut", "_record"
 
 Columns = list[tuple[str, T.DataType]]
 
@@ -115,10 +115,11 @@ def _cut(matched: list[tuple[str, T.DataType, T.StructField | None]]) -> Column
     return reduce(add, cut) if cut else None
 
 
-def align(frame: DataFrame, columns: Columns, count_cut: bool = False) -> DataFrame:
+def align(frame: DataFrame, columns: Columns, count_cut: bool = False, keep_rejects: bool = False) -> DataFrame:
     """The target's columns in the target's order and types.
 
-    A reject flag is added where casts can fail, and if asked for the number of cut values where text can be. A target
+    A reject flag is added where casts can fail, and if asked for the number of cut values where text can be,
+    and the rejected rows as they came, as JSON. A target
     column the frame lacks becomes NULL; a frame column the target lacks is an error. A row is rejected if
     one of its values has no counterpart in the column's type; text is not rejected but cut, except for the
     JSON of a nested value, which would be broken.
@@ -133,6 +134,9 @@ def align(frame: DataFrame, columns: Columns, count_cut: bool = False) -> DataFr
     rejected = _rejected(matched)
     if rejected is not None:
         selected.append(rejected.alias(REJECTED))
+        if keep_rejects:
+            whole = F.to_json(F.struct(*(column(n) for n in frame.columns)), {"ignoreNullFields": "false"})
+            selected.append(F.when(rejected, whole).alias(RECORD))
     cut = _cut(matched) if count_cut else None
     if cut is not None:
         selected.append(cut.alias(CUT))

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import column, quoted, sql_string
 from tidemark.functions.types import STRING_WIDTH, WIDE_WIDTH, parse_type
-from tidemark.operators.conform import CUT, REJECTED, Columns, align, target_schema
+from tidemark.operators.conform import CUT, RECORD, REJECTED, Columns, align, target_schema
 from tidemark.operators.layout import Layout, lay_out
 from tidemark.operators.partitions import Parts
 from tidemark.operators.scans import kept_op
@@ -93,12 +93,13 @@ class State:
 
 
 class Target:
-    """One published table."""
+    """One published table; a load merges its newest segments when there are ``max_segments`` (None: MAX_SEGMENTS)."""
 
-    def __init__(self, spark: SparkSession, database: str, table: str):
+    def __init__(self, spark: SparkSession, database: str, table: str, max_segments: int | None = None):
+        self.max_segments = max_segments
         self.spark, self.database, self.table = spark, database, table
         self.name = self._qualified(table)
-        self._base = f"{table}__base"
+        self._base, self._rejects = f"{table}__base", f"{table}__rejects"
 
     def _qualified(self, table: str) -> str:
         return f"{quoted(self.database)}.{quoted(table)}"
@@ -286,8 +287,16 @@ class Target:
             rows, "segment string, n_rows bigint, low string, high string, n_nulls bigint"
         )
 
+    def rejects(self) -> DataFrame:
+        """The rows that loads under a raised limit left out: the segment that was written, the row as JSON."""
+        if not self._is_own(self._rejects):
+            return self.spark.createDataFrame([], "segment string, record string")
+        return self.spark.table(self._qualified(self._rejects))
+
     def drop(self) -> None:
         """Remove the table and everything it was made of."""
+        if self._is_own(self._rejects):
+            self.spark.sql(f"DROP TABLE {self._qualified(self._rejects)}")
         if self._is_there(self.table):
             self.spark.sql(f"DROP {'VIEW' if self._is_view() else 'TABLE'} {self.name}")
         for name in self._segment_tables():
@@ -322,11 +331,13 @@ class Target:
     ) -> tuple[Segment, Loaded]:
         """Write ``frame`` as a new, unpublished segment in one pass.
 
-        Counts are observed in the writing stage itself, after any shuffle: there Spark counts each
+        With a raised limit, rows are staged with their reject flag first, so that the rejected ones can be
+        kept without reading the source twice. Counts are observed in the writing stage itself, after any shuffle: there Spark counts each
         task once, however often lost tasks are run again.
         """
-        aligned = align(frame, columns, count_cut=True)
+        aligned = align(frame, columns, count_cut=True, keep_rejects=max_errors > 1)
         flagged = REJECTED in aligned.columns
+        staged = RECORD in aligned.columns
         good = ~column(REJECTED) if flagged else F.lit(True)
         ranged = key is not None and is_whole(aligned, key)
         metrics = [F.count_if(good).alias("n_rows"), F.count_if(~good).alias("n_rejects")]
@@ -337,24 +348,47 @@ class Target:
             metrics += [F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n_keys")]
         observation = Observation()
         order = key if key in aligned.columns else None
-        observed = lay_out(aligned, layout, parts, order).observe(observation, *metrics)
-        rows = observed.where(good).drop(REJECTED, CUT) if flagged else observed.drop(CUT)
         segment = self._create(columns, layout)
+        stage = f"{segment}_stage"
         try:
-            rows.write.insertInto(self._qualified(segment))
+            if staged:
+                observed = aligned.observe(observation, *metrics).drop(CUT)
+                observed.write.partitionBy(REJECTED).format("parquet").saveAsTable(self._qualified(stage))
+                kept = self.spark.table(self._qualified(stage)).where(good).drop(REJECTED, RECORD)
+                rows = lay_out(kept, layout, parts, order)
+            else:
+                observed = lay_out(aligned, layout, parts, order).observe(observation, *metrics)
+                rows = observed.where(good).drop(REJECTED, CUT) if flagged else observed.drop(CUT)
+                rows.write.insertInto(self._qualified(segment))
             seen = observation.get
             if seen["n_rejects"] >= max_errors:
                 raise TooManyRejects(f"{seen['n_rejects']} rows do not fit {self.name}, limit {max_errors}")
+            if staged:
+                rows.write.insertInto(self._qualified(segment))
+                self._keep_rejects(segment, stage, seen["n_rejects"])
             keys = [key, layout.dist_key, *layout.sort_key]
             self._analyze(segment, list(dict.fromkeys(k for k in keys if k)) if analyze is None else analyze)
         except Exception:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(segment)}")
             raise
+        finally:
+            if staged:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(stage)}")
         low, high = (_whole(seen["low"]), _whole(seen["high"])) if ranged else (None, None)
         keyed = ranged and seen["n_keys"] == seen["n_rows"]
         written = Segment(segment, low if keyed else None, rows=seen["n_rows"], high=high if keyed else None)
         return written, Loaded(seen["n_rows"], seen["n_rejects"], high, seen.get("n_cut") or 0)
 
+    def _keep_rejects(self, segment: str, stage: str, n: int) -> None:
+        """Add the staged rejects to the side table, which is made for the first of them."""
+        if not n:
+            return
+        if not self._is_there(self._rejects):
+            fields = "(segment string, record string) USING parquet"
+            self.spark.sql(f"CREATE TABLE {self._qualified(self._rejects)} {fields} TBLPROPERTIES ({self._owner()})")
+        rejected = self.spark.table(self._qualified(stage)).where(column(REJECTED))
+        rejected.select(F.lit(segment), RECORD).write.insertInto(self._qualified(self._rejects))
+
     def _analyze(self, segment: str, columns: list[str] | None) -> None:
         if columns is None:
             scope = " FOR ALL COLUMNS"
@@ -371,7 +405,7 @@ class Target:
 
     def _folded(self, state: State) -> State:
         """Merge the newest segments once there are many, so that reads stay cheap."""
-        if len(state.segments) < MAX_SEGMENTS:
+        if len(state.segments) < (self.max_segments or MAX_SEGMENTS):
             return state
         start = _merge_start([segment.rows for segment in state.segments])
         newest = [self.spark.sql(self._kept_sql(state, segment)) for segment in state.segments[start:]]

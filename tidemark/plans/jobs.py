@@ -11,6 +11,7 @@ import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,13 +80,17 @@ def bookmark_list(spark: SparkSession, text: str, given_only: bool = False) -> d
 
 def partition_configs(spark: SparkSession, text: str) -> dict[str, Parts]:
     """How each listed table is split for reading; the first entry for a table counts."""
-    configs: dict[str, Parts] = {}
-    if text.strip():
-        for row in table_specs(spark, text, ["table_name", "hashfield", "hashpartitions"]):
-            if row.table_name not in configs:
-                count = int(row.hashpartitions or specs.DEFAULT_PARTS)
-                configs[row.table_name] = Parts(row.hashfield or specs.DEFAULT_FIELD, count)
-    return {name: parts for name, parts in configs.items() if parts.count > 1}
+    if not text.strip():
+        return {}
+    configs = specs.keyed_specs(_text_table(spark, text), "spec", ["table_name", "hashfield", "hashpartitions"])
+    names = configs.select(F.col("table_name").alias("name")).distinct()
+    try:
+        rows = specs.with_partition_config(names, configs).where("should_partition").collect()
+    except PySparkException as error:
+        if error.getCondition() == "USER_RAISED_EXCEPTION":
+            raise InvalidTables(f"invalid partitions: {text!r}") from error
+        raise
+    return {row.name: Parts(row.hashfield, int(row.hashpartitions)) for row in rows}
 
 
 def _key_of(keys: Keys, name: str) -> str:
