@@ -1,7 +1,7 @@
 """The pipeline stage by stage, and the registered queries."""
 
 import corpus_pipeline
-from test_duplicates import exact_by_hand, fingerprint_by_hand, components_by_hand, passages_by_hand, rows_of
+from llm.test_duplicates import components_by_hand, exact_by_hand, fingerprint_by_hand, passages_by_hand, rows_of
 
 from tidemark.llm import queries
 
