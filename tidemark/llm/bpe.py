@@ -12,6 +12,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import few_rows
+
 #: Bounds of the broadcast rank file and of the pieces that a worker remembers.
 MAX_FILE, MAX_PIECES, MAX_PIECE = 64 << 20, 800_000, 64
 _WORD = 8  # a bitmap word has 2 ** _WORD bits
@@ -174,13 +176,6 @@ class Encoder:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-def _parts(batches, rows: int = 256):
-    """The rows of Arrow batches, a few at a time, so that a batch of any size takes little memory beside itself."""
-    for batch in batches:
-        for start in range(0, batch.num_rows, rows):
-            yield batch.slice(start, rows)
-
-
 @lru_cache(2)
 def encoder(rank_file: bytes, pattern: str) -> Encoder:
     """The encoder of a rank file: a token in Base64 and its rank on each line."""
@@ -207,7 +202,7 @@ def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         encode = encoder(ranks.value, pattern).encode
-        for batch in _parts(batches):
+        for batch in few_rows(batches):
             found = encode(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "ids"])
 
@@ -221,7 +216,7 @@ def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
 
     def run(batches):
         decode = encoder(ranks.value, pattern).decode
-        for batch in _parts(batches):
+        for batch in few_rows(batches):
             found = [decode(i or b"") for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.binary())], ["doc_id", "ids", "decoded"])
 

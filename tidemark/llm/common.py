@@ -26,6 +26,13 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def few_rows(batches, rows: int = 256):
+    """The rows of Arrow batches, a few at a time, so that a batch of any size takes little memory beside itself."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """``edges`` (a, b) of any one orderable type to (node, root): root is the smallest node reachable.
 

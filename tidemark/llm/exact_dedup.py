@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import few_rows, whole_text
 
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
@@ -126,7 +126,7 @@ def _chunks(rows, most: int = 8 << 20):
         yield held
 
 
-def duplicate_classes(docs: DataFrame, trie_bytes: int = 64 << 20) -> DataFrame:
+def duplicate_classes(docs: DataFrame, trie_bytes: int = 32 << 20) -> DataFrame:
     """(sha, keep_id, group_size) for each distinct normalised text of (doc_id, text).
 
     Each input task inserts its texts into a trie of at most ``trie_bytes`` of edges (one more text may exceed
@@ -137,7 +137,7 @@ def duplicate_classes(docs: DataFrame, trie_bytes: int = 64 << 20) -> DataFrame:
 
     def pre_aggregate(batches):
         trie = PatriciaTrie()
-        for batch in batches:
+        for batch in few_rows(batches):
             for doc_id, text, n_chars in zip(*(c.to_pylist() for c in batch.columns)):
                 trie.insert(trie_key(normalised(text)), owner_of(n_chars, doc_id))
                 while trie.size > trie_bytes:
@@ -148,7 +148,7 @@ def duplicate_classes(docs: DataFrame, trie_bytes: int = 64 << 20) -> DataFrame:
 
     def merge(batches):
         trie, part, done = PatriciaTrie(), None, []
-        for batch in batches:
+        for batch in few_rows(batches):
             for key, norm, n_chars, doc_id, copies in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != part:
                     done.extend(_classes(trie))
@@ -183,7 +183,7 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
     """
 
     def digests(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             ids, texts = batch.columns
             shas = [hashlib.sha256(normalised(t)).digest() for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([ids, pa.array(shas, pa.binary())], ["doc_id", "sha"])

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, whole_text, written
+from tidemark.llm.common import connected_components, few_rows, whole_text, written
 
 BITS = 64
 #: Costs that weigh a probing row against a comparison of two fingerprints, in seconds.
@@ -48,7 +48,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp): the fingerprint of each whole text as a signed long; null is empty."""
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             ids, texts = batch.columns
             found = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64))], ["doc_id", "fp"])

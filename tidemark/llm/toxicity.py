@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole_text
+from tidemark.llm.common import few_rows, whole_text
 
 #: The chain: label columns in the order in which they are predicted.
 CATEGORIES = ("quality", "toxic")
@@ -169,14 +169,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     found = texts.join(F.broadcast(chosen), "_id").select("_id", "text", *(f"y{i}" for i in range(len(categories))))
 
     def extract(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             words = [features(t).astype(np.int32) for t in batch.column("text").to_pylist()]
             columns = [batch.column("_id"), pa.array(words, pa.list_(pa.int32())), *batch.columns[2:]]
             yield pa.RecordBatch.from_arrays(columns, ["_id", "words", *batch.schema.names[2:]])
 
     def train(key, table):
         table = table.sort_by([("_id", "ascending")])
-        rows = [np.asarray(w, np.int64) for w in table["words"].to_pylist()]
+        words = table["words"].combine_chunks()
+        values, ends = words.flatten().to_numpy(), words.offsets.to_numpy()
+        rows = np.split(values, ends[1:-1] - ends[0])
         y = np.column_stack([table[f"y{i}"].to_numpy() for i in range(len(categories))])
         chain, thresholds = fit_chain(rows, y)
         out = []
@@ -213,7 +215,7 @@ def scored(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CAT
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             found = chances(shared.value, [features(t) for t in batch.column("text").to_pylist()])
             parts = [batch.column("doc_id"), pa.array(list(found), pa.list_(pa.float64())), pa.array(found[:, -1] >= thresholds[-1])]
             yield pa.RecordBatch.from_arrays(parts, ["doc_id", "chances", "toxic"])
@@ -229,7 +231,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     def run(batches):
-        for batch in batches:
+        for batch in few_rows(batches):
             texts = [(t or "").encode() for t in batch.column("text").to_pylist()]
             found = chances(shared.value, [features(t) for t in texts])
             yield batch.filter(pa.array(found[:, -1] < thresholds[-1]))
