@@ -235,7 +235,7 @@ def shared_bits(table: pa.Table) -> list[bytes]:
     return [np.packbits(part).tobytes() for part in np.split(shared, np.cumsum(sizes)[:-1])]
 
 
-def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 2048) -> DataFrame:
+def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (array of start and end), kept (binary), rest (struct).
 
     ``spans`` are the maximal runs of bytes covered by strings of ``length`` bytes (17 to 79) that also start in a
