@@ -93,6 +93,30 @@ def test_toxic_documents_of_the_other_half_are_found(spark):
     assert told[~toxic].mean() < 0.01
 
 
+def test_beginnings_stand_for_inflected_words():
+    """The toxic words of training and of judgement share their stems only."""
+    draw = np.random.default_rng(1)
+
+    def text(toxic, endings):
+        words = [f"plain{draw.integers(300)}" for _ in range(20)] + ["grobian" + endings[draw.integers(len(endings))]] * int(toxic)
+        return " ".join(words).encode()
+
+    y = np.arange(300) % 6 == 0
+    rows = [toxicity.features(text(t, ["us", "is", "en"])) for t in y]
+    chain, thresholds = toxicity.fit_chain(rows, y[:, None].astype(int))
+    unseen = [toxicity.features(text(t, ["ibus", "orum", "e"])) for t in y]
+    assert ((toxicity.chances(chain, unseen)[:, 0] >= thresholds[0]) == y).all()
+
+
+def test_documents_without_evidence_are_never_toxic():
+    """Toxic documents that nothing tells apart do not draw the threshold down to all others."""
+    y = np.arange(400) % 10 == 0
+    rows = [np.array([7] if t and i % 20 else [], np.int32) for i, t in enumerate(y)]
+    chain, thresholds = toxicity.fit_chain(rows, y[:, None].astype(int))
+    none = toxicity.chances(chain, [np.zeros(0, np.int32)])
+    assert none[0, 0] < thresholds[0] <= 0.5
+
+
 def test_later_models_see_earlier_categories():
     draw = np.random.default_rng(0)
     rows = [np.array(sorted(draw.choice(50, 5, replace=False))) for _ in range(600)]

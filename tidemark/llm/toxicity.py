@@ -17,14 +17,21 @@ CATEGORIES = ("quality", "toxic")
 #: Hashed word features, a bound on a broadcast model of 4 bytes each and category.
 FEATURES = 1 << 18
 #: At most so many labelled documents are fitted on; scoring covers all documents.
-MAX_LABELLED = 16000
+MAX_LABELLED = 5000
+#: Lengths in bytes of the beginnings that stand for a word's inflected forms.
+STEMS = (4, 5, 6, 7, 8)
 
 _WORD_BYTES = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in bytes(range(256)).lower())
 
 
 def features(text: bytes) -> np.ndarray:
-    """The hashed distinct words of a text: runs of letters, digits and bytes beyond ASCII, A-Z lowered."""
+    """The hashed distinct words of a text and their beginnings.
+
+    Words are runs of letters, digits and bytes beyond ASCII, A-Z lowered. The beginnings let a few labels speak for
+    all the endings that a word may take.
+    """
     words = set(text.translate(_WORD_BYTES).split())
+    words.update([w[:n] + b"-" for n in STEMS for w in words if len(w) > n])
     return np.unique(np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) & np.uint32(FEATURES - 1))
 
 
@@ -115,7 +122,11 @@ def _descend(which, of, scale, before, y, ridge: float, steps: int) -> np.ndarra
 
 
 def best_threshold(chance: np.ndarray, y: np.ndarray) -> float:
-    """The probability between two of those seen that separates best by F1; 0.5 without both classes."""
+    """The probability between two of those seen that separates best by F1; 0.5 without both classes.
+
+    At least twice the share of positives (or 0.5): with few labels, positives that no weighted word tells apart
+    would otherwise draw the threshold below what a document without any evidence gets.
+    """
     if not 0 < y.sum() < len(y):
         return 0.5
     order = np.argsort(-chance, kind="stable")
@@ -124,10 +135,10 @@ def best_threshold(chance: np.ndarray, y: np.ndarray) -> float:
     score[:-1][np.diff(chance[order]) == 0] = 0
     best = int(np.argmax(score))
     below = chance[order[best + 1]] if best + 1 < len(y) else 0.0
-    return float((chance[order[best]] + below) / 2)
+    return max(float((chance[order[best]] + below) / 2), min(0.5, 2 * float(y.mean())))
 
 
-def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: int = 3) -> tuple[list[Linear], list[float]]:
+def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: int = 5) -> tuple[list[Linear], list[float]]:
     """A model and a threshold for each column of ``labels``.
 
     Later models are trained with what earlier ones say out of fold: about documents they were not fitted on.
