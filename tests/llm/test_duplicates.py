@@ -100,6 +100,22 @@ def test_near_duplicates(small, documents):
         assert len(set(roots.values())) < len(roots)
 
 
+def test_hot_probing_keys_lose_no_link(spark, monkeypatch):
+    """Fingerprints of which most share half their bits, so that keys are widened down to the last class."""
+    monkeypatch.setattr(simhash, "HOT", 4)
+    draw = random.Random(12)
+    values = set()
+    for top in (draw.getrandbits(32), 0):
+        seeds = [top << 32 | draw.getrandbits(32) for _ in range(60)]
+        for seed in seeds:
+            values |= {seed, seed ^ 1 << draw.randrange(32), seed ^ 7 << draw.randrange(30), seed ^ 15 << draw.randrange(29)}
+    values |= {draw.getrandbits(64) for _ in range(50)}
+    frame = spark.createDataFrame([(simhash.signed(v),) for v in values], "fp long")
+    found = {r["node"]: r["root"] for r in common.connected_components(simhash.linked(frame)).collect()}
+    roots = components_by_hand([(simhash.signed(v), v) for v in values])
+    assert {v: found.get(v, v) for v in roots} == roots
+
+
 def test_near_duplicates_of_odd_texts(odd):
     rows = simhash.near_duplicates(odd).collect()
     prints = Counter((r["doc_id"], r["fp"] % (1 << 64)) for r in rows)
@@ -183,6 +199,7 @@ def passages(docs, **how):
 def test_repeated_passages(small, odd):
     assert passages(small, chunk_rows=17) == passages_by_hand(rows_of(small))
     assert passages(odd, chunk_rows=3) == passages_by_hand(rows_of(odd))
+    assert passages(odd, chunk_bytes=300) == passages_by_hand(rows_of(odd))
     assert passages(odd.limit(0)) == Counter()
 
 
@@ -206,6 +223,16 @@ def test_each_window_has_a_trigger():
         assert all(((at >= p) & (at <= p + 34)).any() for p in range(len(data) - 49))
 
 
+def test_stretches_of_a_text_have_its_triggers(monkeypatch):
+    draw = np.random.default_rng(3)
+    for data in (draw.integers(0, 3, 3001), np.zeros(400), draw.integers(0, 256, 3000)):
+        whole = suffix_dedup._triggers(data.astype(np.uint8), 50)
+        for stretch in (1, 64, 999, 3000):
+            monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
+            at, keys = suffix_dedup.triggers(data.astype(np.uint8), 50)
+            assert (at.tolist(), keys.tolist()) == (whole[0].tolist(), whole[1].tolist())
+
+
 def test_text_stays_whole_characters(documents):
     same = "é" * 40
     docs = documents(["a" + same, "b" + same + "è" * 30, None], kept="k", rest="r")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,8 @@ from tidemark.llm.common import connected_components, few_rows, whole_text, writ
 BITS = 64
 #: Costs that weigh a probing row against a comparison of two fingerprints, in seconds.
 ROW_COST, PAIR_COST = 3e-6, 3e-9
+#: Distinct fingerprints under one probing key beyond which the key is widened.
+HOT = 1 << 16
 _LANES = np.uint64(0x0101010101010101)
 _SHIFTS = np.arange(8, dtype=np.uint64)
 
@@ -140,6 +143,10 @@ def probe_masks(allocation: list[tuple[list[int], int]]) -> list[int]:
     return masks
 
 
+def signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >= 1 << (BITS - 1) else mask
+
+
 def star_edges(values: np.ndarray, distance: int) -> list[tuple[int, int]]:
     """(smallest of the component, member) for the components of distinct fingerprints, without listing pairs."""
     edges, rest = [], np.sort(values)
@@ -159,13 +166,27 @@ def linked(distinct: DataFrame, distance: int = 3) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of fingerprints within the distance.
 
     All fingerprints that agree under a probing mask meet in one task, which verifies the distance and keeps one
-    edge a member. No pairs leave the task, and it holds one key's fingerprints (8 bytes each) at a time.
+    edge a member. No pairs leave the task, and it holds one key's fingerprints (8 bytes each) at a time. A key that
+    more than ``HOT`` fingerprints share is probed again under wider masks: of distance + 1 classes of bits, two
+    fingerprints within the distance agree on at least one. ``distinct`` is read several times.
     """
     n, together = bit_statistics(distinct)
     masks = probe_masks(allocate(n, together, distance)[1])
-    signed = [m - (1 << BITS) if m >= 1 << (BITS - 1) else m for m in masks]
-    keys = F.array(*(F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("value")) for i, m in enumerate(signed)))
-    probes = distinct.select("fp", F.explode(keys).alias("key")).select("key.mask", "key.value", "fp")
+    probes = distinct.select("fp", F.explode(F.array(*(F.lit(signed(m)) for m in masks))).alias("mask"))
+    found, classes, step = [], max(2, distance + 1), 1
+    while True:
+        probes = probes.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp")
+        if step >= BITS:  # all classes are in use
+            break
+        hot = written(probes.groupBy("mask", "value").count().where(F.col("count") > HOT).select("mask", "value"))
+        if hot.isEmpty():
+            break
+        found.append(probes.join(hot, ["mask", "value"], "left_anti"))
+        wider = [sum(1 << b for b in range(BITS) if b // step % classes == c) for c in range(classes)]
+        widened = F.array(*(F.col("mask").bitwiseOR(F.lit(signed(w))) for w in wider))
+        probes = probes.join(hot, ["mask", "value"], "left_semi").select("fp", F.explode(widened).alias("mask"))
+        step *= classes
+    probes = reduce(DataFrame.unionByName, found, probes)
 
     def run(batches):
         held = None
@@ -198,7 +219,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     doc_id counts only where a component has no other id. Other columns of ``docs`` are not read.
     """
     fps = written(fingerprints(docs, shingle))
-    distinct = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
+    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = connected_components(linked(distinct.select("fp"), distance))
     joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
     joined = joined.select("fp", "first", F.coalesce("root", "fp").alias("root"))

@@ -23,15 +23,19 @@ import uuid
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.text import quoted
-from tidemark.llm.common import whole_text, written
+from tidemark.llm.common import few_rows, whole_text, written
 from tidemark.workspace import new_database
 
 TRIGGER = 16
+#: Bytes of a text whose hashes are held at a time.
+STRETCH = 1 << 20
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _NO_ID = np.iinfo(np.int64).max
 
@@ -51,9 +55,21 @@ def slide(values: np.ndarray, k: int, fold) -> np.ndarray:
 
 
 def triggers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions, keys) of the triggers in a text of bytes; none in a text shorter than ``length``."""
-    if len(data) < length:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    """(positions, keys) of the triggers in a text of bytes; none in a text shorter than ``length``.
+
+    A position depends on the windows around it only, so a long text is searched in stretches.
+    """
+    at, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for start in range(0, len(data) if len(data) >= length else 0, STRETCH):
+        low = max(0, start - length)
+        found, hashes = _triggers(data[low : start + STRETCH + length], length)
+        own = (found + low >= start) & (found + low < start + STRETCH)
+        at.append(found[own] + low)
+        keys.append(hashes[own])
+    return np.concatenate(at), np.concatenate(keys)
+
+
+def _triggers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     hashes, span = data.astype(np.uint64) + np.uint64(1), 1
     while span < TRIGGER:
         hashes = hashes[:-span] * np.uint64(pow(_BASE, span, 1 << 64)) + hashes[span:]
@@ -235,24 +251,40 @@ def shared_bits(table: pa.Table) -> list[bytes]:
     return [np.packbits(part).tobytes() for part in np.split(shared, np.cumsum(sizes)[:-1])]
 
 
-def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024) -> DataFrame:
+def chunked(batches, chunk_rows: int, chunk_bytes: int):
+    """The rows with the number of their chunk, a run of a task's rows; a row that exceeds a bound opens the next."""
+    first = TaskContext.get().partitionId() << 32
+    number, rows, size = 0, 0, 0
+    for batch in few_rows(batches):
+        chunks = []
+        for n in pc.binary_length(batch.column("text")).to_pylist():
+            if rows and (rows == chunk_rows or size + n > chunk_bytes):
+                number, rows, size = number + 1, 0, 0
+            rows, size = rows + 1, size + n
+            chunks.append(first + number)
+        yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
+
+
+def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024, chunk_bytes: int = 4 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (array of start and end), kept (binary), rest (struct).
 
     ``spans`` are the maximal runs of bytes covered by strings of ``length`` bytes (17 to 79) that also start in a
     document with a smaller doc_id, all judged on the input; matches never cross documents. ``kept`` is the rest of
     the text, ``rest`` has all columns but the text. A null text is empty. A null doc_id counts as larger than any
     other; rows with the same doc_id do not remove each other's text. The documents are written once, bucketed by
-    chunk, so that no later step shuffles a text. ``chunk_rows`` bounds a chunk, which one task holds.
+    chunk, so that no later step shuffles a text. ``chunk_rows`` and ``chunk_bytes`` bound a chunk, which one task
+    holds; a longer text is a chunk of its own.
     """
     if not TRIGGER < length < TRIGGER + 64:
         raise ValueError(f"length must be {TRIGGER + 1} to {TRIGGER + 63}")
     spark = docs.sparkSession
     reach = length - TRIGGER
-    buckets = max(1, math.ceil(docs.count() / chunk_rows))
-    place = F.monotonically_increasing_id()
-    chunk = F.shiftright(place, 33) * F.lit(1 << 22) + F.floor(place.bitwiseAND(F.lit((1 << 33) - 1)) / chunk_rows)
+    n, size = docs.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    buckets = max(1, math.ceil(n / chunk_rows), math.ceil(size / chunk_bytes))
     rest = F.struct(*(F.col(quoted(c)) for c in docs.columns if c != "text"))
-    rows = docs.select(chunk.cast("long").alias("chunk"), F.col("doc_id").cast("long"), whole_text().alias("text"), rest.alias("rest"))
+    rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"), rest.alias("rest"))
+    kinds = T.StructType([T.StructField("chunk", T.LongType()), *rows.schema])
+    rows = rows.mapInArrow(lambda batches: chunked(batches, chunk_rows, chunk_bytes), kinds)
     table = f"{quoted(new_database(spark, 'passages'))}.{quoted('t' + uuid.uuid4().hex)}"
     rows.write.format("parquet").bucketBy(buckets, "chunk").sortBy("chunk").saveAsTable(table)
     stored = spark.table(table)
