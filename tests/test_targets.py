@@ -291,6 +291,19 @@ def test_buckets_are_whole_and_sorted(spark, target, sf_dir):
     assert drops == 0
 
 
+def test_buckets_follow_the_size_of_a_full_replacement(spark, target):
+    large, small = spark.range(1 << 19).select("id"), spark.range(5).select("id")
+    assert bucket_count(large) > bucket_count(small)
+    target.replace_table(small, "id", Layout((), "id"))
+    target.replace_rows(large, "id")
+    assert target.state().layout == Layout((), "id", bucket_count(large), True)
+    target.replace_tail(small, "id", 2)
+    assert target.state().layout.buckets == bucket_count(large)
+    target.replace_table(small, "id", Layout((), "id", 6))
+    target.replace_rows(large, "id")
+    assert target.state().layout == Layout((), "id", 6)
+
+
 def test_statistics(spark, target):
     target.replace_table(numbered(spark, 0, 100), "id", Layout(("id",)))
     target.append(spark.createDataFrame([(None, "x"), (500, None)], "id bigint, tag string"))

@@ -17,16 +17,20 @@ _SMALL_BUCKETS, _SMALL_BUCKET_BYTES = 8, 1 << 20
 
 @dataclass(frozen=True)
 class Layout:
-    """Sort keys, distribution key and number of buckets for the latter (None: by size)."""
+    """Sort keys, distribution key and number of buckets for the latter (None: by size).
+
+    ``by_size`` marks a number that follows from the rows, and is found anew when all of them are replaced.
+    """
 
     sort_key: tuple[str, ...] = ()
     dist_key: str | None = None
     buckets: int | None = None
+    by_size: bool = False
 
     def sized_for(self, frame: DataFrame) -> Layout:
-        if self.dist_key is None or self.buckets is not None:
+        if self.dist_key is None or self.buckets is not None and not self.by_size:
             return self
-        return replace(self, buckets=bucket_count(frame))
+        return replace(self, buckets=bucket_count(frame), by_size=True)
 
     def ddl(self) -> str:
         if self.dist_key is None:

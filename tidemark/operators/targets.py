@@ -88,7 +88,7 @@ class State:
     def load(text: str) -> State:
         raw = json.loads(text)
         segments = tuple(Segment(s["table"], s["low"], s["keep"] and tuple(s["keep"]), s["rows"], s.get("high")) for s in raw["segments"])
-        layout = Layout(tuple(raw["layout"]["sort_key"]), raw["layout"]["dist_key"], raw["layout"]["buckets"])
+        layout = Layout(tuple(raw["layout"]["sort_key"]), raw["layout"]["dist_key"], raw["layout"]["buckets"], raw["layout"].get("by_size", False))
         return State(segments, raw["key"], raw["high"], layout)
 
 
@@ -174,17 +174,18 @@ class Target:
     def recreate(self, columns: Columns, layout: Layout = Layout()) -> None:
         """An empty table with these columns in place of whatever had the name."""
         if layout.dist_key is not None and layout.buckets is None:
-            layout = replace(layout, buckets=int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            layout = replace(layout, buckets=int(self.spark.conf.get("spark.sql.shuffle.partitions")), by_size=True)
         self._adopt()
         segment = self._create(columns, layout)
         self._analyze(segment, [])
         self._publish(State((Segment(segment, rows=0),), layout=layout))
 
     def replace_rows(self, frame: DataFrame, key: str | None = None, **options) -> Loaded:
-        """All rows replaced; columns and layout of the table stay."""
+        """All rows replaced; columns and layout of the table stay, but for a number of buckets that follows the size."""
         state = self._current()
-        segment, loaded = self._write(frame, self.columns(), state.layout, key, **options)
-        self._publish(replace(state, segments=(segment,), key=key, high=loaded.high_key))
+        layout = state.layout.sized_for(frame)
+        segment, loaded = self._write(frame, self.columns(), layout, key, **options)
+        self._publish(State((segment,), key, loaded.high_key, layout))
         return loaded
 
     def replace_table(
