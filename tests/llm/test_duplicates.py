@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -216,6 +217,34 @@ def test_passages_of_few_letters(documents):
     assert passages(docs, length=20, chunk_rows=7) == passages_by_hand(rows_of(docs), 20)
 
 
+@pytest.mark.parametrize("hot", [0, 8])
+def test_passages_around_hot_triggers(small, odd, documents, hot):
+    for docs, length in ((small, 50), (odd, 50), (documents(licensed(80)), 50), (documents(licensed(80)), 20)):
+        assert passages(docs, length=length, chunk_rows=7, hot_phrases=hot) == passages_by_hand(rows_of(docs), length)
+
+
+def licensed(n):
+    """Texts that share one line, each with words of its own before and after it."""
+    draw = random.Random(21)
+    line = "Licensed to all under the terms of the common licence, see the file."
+    return [f"{draw.getrandbits(300):x}{line}{draw.getrandbits(300 + i % 3):x}" for i in range(n)]
+
+
+def test_no_bucket_holds_all_phrases_of_a_trigger():
+    """What one unit of work gets of a line that every document has follows the chunks, not the documents."""
+    ids, texts = np.arange(600), [t.encode() for t in licensed(600)]
+    chunks = [suffix_dedup.Chunk(ids[i : i + 100].tolist(), texts[i : i + 100], 50, 1) for i in range(0, 600, 100)]
+    sent = [[*c.trigger_messages()][0] for c in chunks]
+    table = pa.table({"items": [m[1] for m in sent], "extra": [m[2] for m in sent]})
+    for chunk, bits in zip(chunks, suffix_dedup.shared_bits(table, 64)):
+        chunk.keep_shared({0: bits})
+    cold = Counter(int(k) for c in chunks for k in c.cold_keys)
+    assert not cold or max(cold.values()) <= 64
+    windows = Counter(bytes(w) for c in chunks for w in c.windows)
+    assert len(windows) > 600
+    assert max(windows.values()) == len(chunks)
+
+
 def test_each_window_has_a_trigger():
     draw = np.random.default_rng(2)
     for data in (draw.integers(0, 3, 4000), np.zeros(400), draw.integers(0, 256, 4000)):

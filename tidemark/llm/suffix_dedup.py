@@ -4,15 +4,19 @@ Rolling-hash triggers cut each text into phrases. A trigger is the least hash of
 some window of 50 bytes, so every such window has one, and equal windows have it at the same place. The corpus is
 worked on in *chunks* (runs of documents) and *buckets* (ranges of trigger hashes), which write to each other:
 
-1. chunk to bucket: the distinct triggers. Bucket to chunk: a bit for each, whether another document has it too.
+1. chunk to bucket: the distinct triggers, and about how many phrases each has. Bucket to chunk: a bit for each,
+   whether another document has it too, and another, whether it is *hot*: too many phrases for one task.
 2. chunk to bucket: the distinct phrases around shared triggers. The bucket sorts the dictionary of phrases, on the
    right of the trigger as suffixes and on the left reversed; the parse pairs the two ranks. Runs of phrases that
    share enough bytes, by their LCP, give for each window the class of equal strings in corpus order, without any
    hash. Bucket to chunk: for each phrase, which windows also start in a document with a smaller id.
+   Phrases around hot triggers are not sent; their distinct windows are, byte for byte, each with the smallest id in
+   the chunk, to the bucket of the window's hash. Bucket to chunk: a bit for each window.
 3. Each chunk marks the windows in its documents.
 
-A chunk sends a trigger or phrase once, however many of its documents have it, so that a passage that a third of
-all documents share costs each chunk one entry.
+A chunk sends a trigger, phrase or window once, however many of its documents have it. A passage that a third of all
+documents share costs each chunk one entry for a trigger well inside of it. Near its edges each document has a phrase of
+its own; there the trigger becomes hot, and the unit of work is a class of equal windows, with one entry a chunk.
 """
 
 from __future__ import annotations
@@ -36,6 +40,8 @@ from tidemark.workspace import new_database
 TRIGGER = 16
 #: Bytes of a text whose hashes are held at a time.
 STRETCH = 1 << 20
+#: Phrases around one trigger (86 bytes and an id each) that one task sorts.
+HOT = 1 << 18
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _NO_ID = np.iinfo(np.int64).max
 
@@ -83,6 +89,23 @@ def _triggers(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return at, _mixed(hashes[at] + np.uint64(1))
 
 
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """A hash of each row of bytes, to deal and to count them; equality is always judged on the bytes."""
+    words = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
+    words[:, : rows.shape[1]] = rows
+    out = np.zeros(len(rows), np.uint64)
+    for word in words.view(np.uint64).T:
+        out = _mixed((out + np.uint64(1)) * np.uint64(_BASE) ^ word)
+    return out
+
+
+def _documents(of: np.ndarray):
+    """(document, start, end) of the triggers of each document that has some."""
+    cuts = np.flatnonzero(np.diff(of, prepend=-1, append=-2))
+    for start, end in zip(cuts[:-1], cuts[1:]):
+        yield int(of[start]), int(start), int(end)
+
+
 class Chunk:
     """The triggers of some documents, and the distinct ones in the order in which they are sent."""
 
@@ -103,14 +126,24 @@ class Chunk:
         return np.searchsorted(bucket, np.arange(self.buckets + 1, dtype=np.uint64))
 
     def trigger_messages(self):
-        """(bucket, five bytes of each key, a byte each: whether two documents here have it)."""
+        """(bucket, five bytes of each key, a byte each: whether two documents here have it, and log2 of its phrases)."""
         low = np.full(len(self.keys), _NO_ID)
         high = np.full(len(self.keys), np.iinfo(np.int64).min)
         np.minimum.at(low, self.key_of, self.ids[self.of])
         np.maximum.at(high, self.key_of, self.ids[self.of])
         raw = self.keys.view(np.uint8).reshape(-1, 8)[:, :5]
+        sizes = np.ceil(np.log2(np.maximum(1, self.count_phrases()))).astype(np.uint8)
+        told = (low < high) | sizes << np.uint8(1)
         for bucket, a, b in self.parts(self.keys):
-            yield bucket, raw[a:b].tobytes(), (low < high)[a:b].tobytes()
+            yield bucket, raw[a:b].tobytes(), told[a:b].tobytes()
+
+    def count_phrases(self) -> np.ndarray:
+        """How many distinct phrases each trigger has here."""
+        count = np.bincount(self.key_of, minlength=len(self.keys))
+        several = np.flatnonzero(count[self.key_of] > 1)
+        hashes = row_hashes(self.around(self.at[several], self.of[several]))
+        _, first = np.unique(_mixed(hashes ^ self.keys[self.key_of[several]]), return_index=True)
+        return np.where(count > 1, np.bincount(self.key_of[several[first]], minlength=len(self.keys)), count)
 
     def parts(self, keys):
         bounds = self.bucket_bounds(keys)
@@ -119,46 +152,94 @@ class Chunk:
 
     def keep_shared(self, answers: dict[int, bytes]) -> None:
         """Take the buckets' bits; then find the distinct phrases around the shared triggers."""
-        shared = np.zeros(len(self.keys), bool)
+        shared, hot = np.zeros(len(self.keys), bool), np.zeros(len(self.keys), bool)
         for bucket, a, b in self.parts(self.keys):
-            shared[a:b] = np.unpackbits(np.frombuffer(answers[bucket], np.uint8), count=b - a)
+            bits = np.frombuffer(answers[bucket], np.uint8)
+            shared[a:b] = np.unpackbits(bits, count=b - a)
+            if len(bits) > (b - a + 7) // 8:
+                hot[a:b] = np.unpackbits(bits[(b - a + 7) // 8 :], count=b - a)
         here = np.flatnonzero(shared[self.key_of])
         self.at, self.of, key_of = self.at[here], self.of[here], self.key_of[here]
-        width = 2 * self.reach + TRIGGER
-        rows = np.zeros((len(here), width + 2), np.uint8)
-        for doc, start, end in self.documents():
-            data, at = self.data[doc], self.at[start:end]
-            padded = np.zeros(len(data) + 2 * self.reach, np.uint8)
-            padded[self.reach : self.reach + len(data)] = data
-            rows[start:end, :width] = np.lib.stride_tricks.sliding_window_view(padded, width)[at]
-            rows[start:end, width] = np.maximum(0, self.reach - at)
-            rows[start:end, width + 1] = np.minimum(self.reach, len(data) - self.length - at + self.reach)
+        rows = self.around(self.at, self.of)
         order, first, self.phrase_of = distinct_rows(rows, self.keys[key_of])
-        self.phrases, self.phrase_keys = rows[first], self.keys[key_of][first]
+        self.phrases = rows[first]
         self.least = np.full(len(first), _NO_ID)
         np.minimum.at(self.least, self.phrase_of, self.ids[self.of])
+        hot = hot[key_of][first]
+        self.cold, self.hot = np.flatnonzero(~hot), np.flatnonzero(hot)
+        self.cold_keys = self.keys[key_of][first][self.cold]
+        self.find_windows()
+
+    def around(self, at: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The phrase around each trigger, and the first and last offset of a window in it that the text has."""
+        width = 2 * self.reach + TRIGGER
+        rows = np.zeros((len(at), width + 2), np.uint8)
+        for doc, start, end in _documents(of):
+            data, here = self.data[doc], at[start:end]
+            padded = np.zeros(len(data) + 2 * self.reach, np.uint8)
+            padded[self.reach : self.reach + len(data)] = data
+            rows[start:end, :width] = np.lib.stride_tricks.sliding_window_view(padded, width)[here]
+            rows[start:end, width] = np.maximum(0, self.reach - here)
+            rows[start:end, width + 1] = np.minimum(self.reach, len(data) - self.length - here + self.reach)
+        return rows
 
-    def documents(self):
-        """(document, start, end) of the triggers of each document that has some."""
-        cuts = np.flatnonzero(np.diff(self.of, prepend=-1, append=-2))
-        for start, end in zip(cuts[:-1], cuts[1:]):
-            yield int(self.of[start]), int(start), int(end)
+    def find_windows(self) -> None:
+        """The distinct windows of the phrases around hot triggers: their bytes, hashes and least ids.
+
+        ``placed`` has, for each offset, the phrases that have a window there, and the window's number.
+        """
+        width = self.phrases.shape[1] - 2
+        windows, hashes, least, placed = [], [], [], []
+        for offset in range(self.reach + 1 if len(self.hot) else 0):
+            low, high = self.phrases[self.hot, width], self.phrases[self.hot, width + 1]
+            phrase = self.hot[(low <= offset) & (offset <= high)]
+            found = self.phrases[phrase, offset : offset + self.length]
+            keys = row_hashes(found)
+            _, first, which = distinct_rows(found, keys)
+            owner = np.full(len(first), _NO_ID)
+            np.minimum.at(owner, which, self.least[phrase])
+            placed.append((offset, phrase, which + sum(map(len, windows))))
+            windows.append(found[first])
+            hashes.append(keys[first])
+            least.append(owner)
+        rows = np.concatenate([np.zeros((0, self.length), np.uint8), *windows])
+        keys = np.concatenate([np.zeros(0, np.uint64), *hashes])
+        _, first, which = distinct_rows(rows, keys)
+        self.windows, self.window_keys = rows[first], keys[first]
+        self.window_least = np.full(len(first), _NO_ID)
+        np.minimum.at(self.window_least, which, np.concatenate([np.zeros(0, np.int64), *least]))
+        self.placed = [(offset, phrase, which[n]) for offset, phrase, n in placed]
 
     def phrase_messages(self):
-        for bucket, a, b in self.parts(self.phrase_keys):
-            yield bucket, self.phrases[a:b].tobytes(), self.least[a:b].tobytes()
+        """(bucket, phrases or windows, least id of each); the buckets of windows come after those of phrases."""
+        phrases, least = self.phrases[self.cold], self.least[self.cold]
+        for bucket, a, b in self.parts(self.cold_keys):
+            yield bucket, phrases[a:b].tobytes(), least[a:b].tobytes()
+        for bucket, a, b in self.parts(self.window_keys):
+            yield self.buckets + bucket, self.windows[a:b].tobytes(), self.window_least[a:b].tobytes()
+
+    def masks(self, answers: dict[int, bytes]) -> np.ndarray:
+        """For each phrase a mask of the windows that also start in a document with an id below its least."""
+        masks = np.zeros(len(self.phrases), np.uint64)
+        for bucket, a, b in self.parts(self.cold_keys):
+            masks[self.cold[a:b]] = np.frombuffer(answers[bucket], np.uint64)
+        earlier = np.zeros(len(self.windows), bool)
+        for bucket, a, b in self.parts(self.window_keys):
+            earlier[a:b] = np.unpackbits(np.frombuffer(answers[self.buckets + bucket], np.uint8), count=b - a)
+        for offset, phrase, window in self.placed:
+            found = earlier[window] | (self.window_least[window] < self.least[phrase])
+            masks[phrase[found]] |= np.uint64(1 << offset)
+        return masks
 
     def removed(self, answers: dict[int, bytes]) -> list[list[tuple[int, int]]]:
         """The spans to remove from each document."""
         spans: list[list[tuple[int, int]]] = [[] for _ in self.data]
         if not len(self.at):
             return spans
-        masks = np.zeros(len(self.phrases), np.uint64)
-        for bucket, a, b in self.parts(self.phrase_keys):
-            masks[a:b] = np.frombuffer(answers[bucket], np.uint64)
+        masks = self.masks(answers)
         width = self.phrases.shape[1] - 2
         offsets = np.arange(self.reach + 1, dtype=np.uint64)
-        for doc, start, end in self.documents():
+        for doc, start, end in _documents(self.of):
             phrase = self.phrase_of[start:end]
             windows = ((masks[phrase][:, None] >> offsets) & np.uint64(1)).astype(bool)
             later = self.ids[doc] > self.least[phrase]
@@ -222,6 +303,14 @@ def earlier_windows(phrases: np.ndarray, owners: np.ndarray, reach: int) -> np.n
     return masks
 
 
+def earlier_equals(windows: np.ndarray, owners: np.ndarray) -> np.ndarray:
+    """Whether an equal window has a smaller owner, for each window."""
+    _, first, which = distinct_rows(windows, np.zeros(len(windows), np.uint64))
+    least = np.full(len(first), _NO_ID)
+    np.minimum.at(least, which, owners)
+    return least[which] < owners
+
+
 _SENT = "bucket int, chunk long, items binary, extra binary"
 _ANSWER = "chunk long, bucket int, step int, answer binary"
 
@@ -240,15 +329,22 @@ def _answers(table: pa.Table, step: int) -> dict[int, bytes]:
     return {bucket: answer for bucket, at, answer in rows if at == step}
 
 
-def shared_bits(table: pa.Table) -> list[bytes]:
-    """For the triggers in each row, a bit: another row has it, or two documents of its chunk do."""
+def shared_bits(table: pa.Table, hot_phrases: int) -> list[bytes]:
+    """For the triggers in each row, a bit: another row has it, or two documents of its chunk do.
+
+    Where some are hot, another bit for each follows: about more than ``hot_phrases`` phrases of all chunks have it.
+    """
     items, extra = table["items"].to_pylist(), table["extra"].to_pylist()
     sizes = [len(x) for x in extra]
     raw = np.zeros((sum(sizes), 8), np.uint8)
     raw[:, :5] = np.frombuffer(b"".join(items), np.uint8).reshape(-1, 5)
     _, which, count = np.unique(raw.view(np.uint64).ravel(), return_inverse=True, return_counts=True)
-    shared = (count[which] > 1) | (np.frombuffer(b"".join(extra), np.uint8) > 0)
-    return [np.packbits(part).tobytes() for part in np.split(shared, np.cumsum(sizes)[:-1])]
+    told = np.frombuffer(b"".join(extra), np.uint8)
+    shared = (count[which] > 1) | (told & 1 > 0)
+    hot = shared & (np.bincount(which, np.exp2((told >> 1).astype(float))) > hot_phrases)[which]
+    cuts = np.cumsum(sizes)[:-1]
+    parts = zip(np.split(shared, cuts), np.split(hot, cuts))
+    return [np.packbits(a).tobytes() + (np.packbits(b).tobytes() if b.any() else b"") for a, b in parts]
 
 
 def chunked(batches, chunk_rows: int, chunk_bytes: int):
@@ -265,7 +361,7 @@ def chunked(batches, chunk_rows: int, chunk_bytes: int):
         yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
 
 
-def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024, chunk_bytes: int = 4 << 20) -> DataFrame:
+def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024, chunk_bytes: int = 4 << 20, hot_phrases: int = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (array of start and end), kept (binary), rest (struct).
 
     ``spans`` are the maximal runs of bytes covered by strings of ``length`` bytes (17 to 79) that also start in a
@@ -273,7 +369,8 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
     the text, ``rest`` has all columns but the text. A null text is empty. A null doc_id counts as larger than any
     other; rows with the same doc_id do not remove each other's text. The documents are written once, bucketed by
     chunk, so that no later step shuffles a text. ``chunk_rows`` and ``chunk_bytes`` bound a chunk, which one task
-    holds; a longer text is a chunk of its own.
+    holds; a longer text is a chunk of its own. Triggers with more than about ``hot_phrases`` phrases are compared
+    window by window.
     """
     if not TRIGGER < length < TRIGGER + 64:
         raise ValueError(f"length must be {TRIGGER + 1} to {TRIGGER + 63}")
@@ -296,7 +393,7 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
         return _sent([*opened(table).trigger_messages()], key[0].as_py())
 
     def find_shared(key, table):
-        return _answered(table, 1, shared_bits(table))
+        return _answered(table, 1, shared_bits(table, hot_phrases))
 
     def send_phrases(key, table, answers):
         if not len(table) or not len(answers):
@@ -307,10 +404,13 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
 
     def find_earlier(key, table):
         items, extra = table["items"].to_pylist(), table["extra"].to_pylist()
-        phrases = np.frombuffer(b"".join(items), np.uint8).reshape(-1, 2 * reach + TRIGGER + 2)
-        masks = earlier_windows(phrases, np.frombuffer(b"".join(extra), np.int64), reach)
-        parts = np.split(masks, np.cumsum([len(x) // 8 for x in extra])[:-1])
-        return _answered(table, 2, [part.tobytes() for part in parts])
+        data, owners = np.frombuffer(b"".join(items), np.uint8), np.frombuffer(b"".join(extra), np.int64)
+        cuts = np.cumsum([len(x) // 8 for x in extra])[:-1]
+        if key[0].as_py() >= buckets:
+            found = earlier_equals(data.reshape(-1, length), owners)
+            return _answered(table, 2, [np.packbits(part).tobytes() for part in np.split(found, cuts)])
+        masks = earlier_windows(data.reshape(-1, 2 * reach + TRIGGER + 2), owners, reach)
+        return _answered(table, 2, [part.tobytes() for part in np.split(masks, cuts)])
 
     def remove(key, table, answers):
         texts = table["text"].to_pylist()
