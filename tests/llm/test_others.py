@@ -183,6 +183,31 @@ def test_order_counts(spark):
     assert like[0] == 1 > like[1] > 0.8 > like[2] > like[3]
 
 
+def agreement(a, b):
+    """The chance that the two least k-mers, in text order, are the same: for a random order of all that a and b have."""
+    a, b = ({tuple(t[i : i + 3]): i for i in range(len(t) - 2)} for t in (a, b))
+    union, both = len(a.keys() | b.keys()), sorted(a.keys() & b.keys(), key=a.get)
+    same = sum(b[x] < b[y] for n, x in enumerate(both) for y in both[n + 1 :])
+    return same / (union * (union - 1) / 2)
+
+
+@pytest.mark.parametrize("n", [6, 20, 40, 60, 100, 200])
+def test_short_texts_follow_order(spark, n):
+    """Words in halves that change places, one word put in, and the last tenth replaced."""
+    draw = random.Random(n)
+    rows, wanted = [], []
+    for _ in range(30):
+        words = [f"w{w}" for w in draw.sample(range(10**6), n)]
+        at, tenth = draw.randrange(n), max(1, n // 10)
+        edits = [words[n // 2 :] + words[: n // 2], words[:at] + ["new"] + words[at:], words[:-tenth] + [f"new{i}" for i in range(tenth)]]
+        rows.append([" ".join(t) for t in (words, *edits)])
+        wanted.append([agreement(words, t) for t in edits])
+    frame = spark.createDataFrame(rows, "t string, a string, b string, c string")
+    like = [order_minhash.likeness(*(order_minhash.fingerprint(F.col(c)) for c in ("t", e))).alias(e) for e in "abc"]
+    found = np.array([list(r) for r in frame.select(*like).collect()])
+    assert np.abs(found.mean(0) - np.array(wanted).mean(0)).max() < 0.05
+
+
 def test_fingerprints_number_occurrences(spark):
     def numbered(text):
         tokens = text.split()
