@@ -208,6 +208,20 @@ def test_short_texts_follow_order(spark, n):
     assert np.abs(found.mean(0) - np.array(wanted).mean(0)).max() < 0.05
 
 
+def test_edits_of_unspaced_texts_stay_local(spark):
+    """One character put in, in front or further on, or taken out."""
+    draw = random.Random(4)
+    thai, ideographs = [chr(c) for c in range(0xE01, 0xE2F)], [chr(c) for c in range(0x20000, 0x20800)]
+    texts = ["".join(draw.choices(letters, k=4000)) for letters in (thai, ideographs, [chr(c) for c in range(33, 127)])]
+    rows = [(t, "x" + t, t[:1000] + t[0] + t[1000:], t[:2000] + t[2001:]) for t in [*texts, ideographs[0].join(texts)]]
+    rows += [(t[:16], *[t[:16]] * 3) for t in texts]
+    frame = spark.createDataFrame(rows, "t string, a string, b string, c string")
+    like = [order_minhash.likeness(*(order_minhash.fingerprint(F.col(c)) for c in ("t", e))).alias(e) for e in "abc"]
+    assert all(min(r) > 0.85 for r in frame.select(*like).collect())
+    tokens = frame.select(F.size(F.regexp_extract_all("t", F.lit(order_minhash.TOKEN), F.lit(0)))).collect()
+    assert [r[0] for r in tokens] == [4000, 4000, 4000, 12002, 16, 16, 1]
+
+
 def test_fingerprints_number_occurrences(spark):
     def numbered(text):
         tokens = text.split()
