@@ -1,13 +1,19 @@
-"""Repeated passages, removed byte for byte with prefix-free parsing.
+"""Repeated passages, removed byte for byte with the triggers of prefix-free parsing.
 
-Rolling-hash triggers cut each text into phrases. A trigger is the least hash of 16 bytes among the starts in
+This is not the whole of prefix-free parsing: no suffix array, of the dictionary or of the parse, is built, and there is
+no parse sequence. Phrases are not the stretches between triggers but the 34 bytes on either side of one, and sorts of
+both sides, bounded to that depth, take the place of the suffix arrays. A passage is removed for equal strings of 50
+bytes, for which no deeper order is needed; a suffix array of the parse would order the whole corpus in one piece,
+while bounded sorts are independent for each trigger. Results are exact.
+
+Rolling-hash triggers mark each text. A trigger is the least hash of 16 bytes among the starts in
 some window of 50 bytes, so every such window has one, and equal windows have it at the same place. The corpus is
 worked on in *chunks* (runs of documents) and *buckets* (ranges of trigger hashes), which write to each other:
 
 1. chunk to bucket: the distinct triggers, and about how many phrases each has. Bucket to chunk: a bit for each,
    whether another document has it too, and another, whether it is *hot*: too many phrases for one task.
 2. chunk to bucket: the distinct phrases around shared triggers. The bucket sorts the dictionary of phrases, on the
-   right of the trigger as suffixes and on the left reversed; the parse pairs the two ranks. Runs of phrases that
+   right of the trigger as suffixes and on the left reversed; each phrase pairs the two ranks. Runs of phrases that
    share enough bytes, by their LCP, give for each window the class of equal strings in corpus order, without any
    hash. Bucket to chunk: for each phrase, which windows also start in a document with a smaller id.
    Phrases around hot triggers are not sent; their distinct windows are, byte for byte, each with the smallest id in
