@@ -127,6 +127,17 @@ def test_later_models_see_earlier_categories():
     assert ((toxicity.chances(chain, rows) >= thresholds) == first[:, None].astype(bool)).all()
 
 
+def test_repeated_rows_train_once(documents, spark):
+    """Of all rows of a labelled id, the largest text is fitted, once."""
+    texts = [(i, f"grobian word{i % 7} plain{i}" if i % 6 == 0 else f"word{i % 7} plain{i}") for i in range(120)]
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    again = [(0, texts[0][1])] * 300 + [(1, "a smaller text"), (1, None)]
+    once, repeated = (toxicity.fit(documents(t), labels) for t in (texts, texts + again))
+    assert once[1] == repeated[1]
+    for a, b in zip(once[0], repeated[0]):
+        assert (a.words == b.words).all() and a.bias == b.bias and (a.earlier == b.earlier).all()
+
+
 def test_toxicity_of_odd_tables(spark, odd):
     labels = spark.createDataFrame([(None, 1, 1), (5, None, 0), (6, 1, 1), (6, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.scored(odd, labels).count() == odd.count()

@@ -177,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("text"))
     # at most max_labelled rows of one id and the categories: small enough for every task
-    found = texts.join(F.broadcast(chosen), "_id").select("_id", "text", *(f"y{i}" for i in range(len(categories))))
+    kept = [f"y{i}" for i in range(len(categories))]
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", *kept).agg(F.max("text").alias("text")).select("_id", "text", *kept)
 
     def extract(batches):
         for batch in few_rows(batches):
