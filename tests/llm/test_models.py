@@ -1,0 +1,265 @@
+"""Quality classifier, hard negatives and whitening against brute force and held-out labels."""
+
+import math
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import hard_negatives, quality, queries, whitening
+
+VECTORS = "vec_id long, embedding array<float>, label int, at string, x string, block string, n string, z string"
+
+
+@pytest.fixture
+def vectors(spark):
+    """An embeddings table of (vec_id, embedding, label), with columns whose names clash."""
+
+    def make(rows):
+        return spark.createDataFrame([(i, None if v is None else [None if c is None else float(c) for c in v], y, *"abcde") for i, v, y in rows], VECTORS)
+
+    return make
+
+
+def odd_vectors(rng, n=300, d=6):
+    """Random vectors in a few clusters, with many copies of one, zeros, nulls, and entries that are no numbers."""
+    centres = rng.standard_normal((4, d))
+    rows = [(i, list(np.round(centres[i % 4] + rng.standard_normal(d) * 0.4, 2)), i % 5) for i in range(n)]
+    rows += [(1000 + i, [0.5] * d, i % 3) for i in range(100)]
+    rows += [(2000, [0.0] * d, 1), (2007, None, 1), (2008, [1.0] * (d - 1) + [None], 1), (2009, [1.0] * (d - 1) + [math.nan], 2)]
+    rows += [(2010, [1.0] * (d - 1) + [math.inf], 2), (2100, [0.25] * d, None), (None, list(centres[0]), 2), (None, [0.5] * d, 2), (-100, [-0.5] * d, 3)]
+    return rows + [rows[100], rows[100], rows[3]]
+
+
+# -- op11 ----------------------------------------------------------------------------------------------
+
+
+def held(i):
+    return zlib.crc32(str(i).encode()) % 3 == 1
+
+
+def test_quality_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    found = {r.doc_id: r for r in queries.op11_quality_classifier(spark, folder).collect()}
+    assert len(found) == spark.read.parquet(f"{folder}/documents.parquet").count()
+    assert all(r.held_out == held(i) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for i, r in found.items())
+    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality IS NOT NULL").collect()
+    unseen = [(found[r.doc_id].predicted, r.quality) for r in labels if r.doc_id in found and held(r.doc_id)]
+    assert np.mean([p == y for p, y in unseen]) > 0.95
+    bad = [p for p, y in unseen if y == 0]
+    assert bad.count(0) >= 0.8 * len(bad)
+
+
+def test_quality_reads_no_held_out_label_and_nothing_but_text(spark, small):
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    plain = {r.doc_id: r.score for r in quality.scored(small, labels).collect()}
+    flipped = labels.withColumn("quality", F.when(quality.is_held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    other = small.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string"))
+    assert {r.doc_id: r.score for r in quality.scored(other, flipped).collect()} == plain
+    # labels far beyond the documents change nothing
+    more = spark.range(10_000_000, 10_200_000).select(F.col("id").alias("doc_id"), F.lit(0).alias("quality"), F.lit(0).alias("toxic"))
+    assert {r.doc_id: r.score for r in quality.scored(small, labels.unionByName(more)).collect()} == plain
+
+
+def test_quality_of_odd_documents(spark, odd, documents):
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 1), (3, 0), (5, 1), (6, None), (None, 1), (99, 1)], "doc_id long, quality int")
+    found = quality.scored(odd.withColumn("measures", F.lit("m")), labels).collect()
+    assert len(found) == odd.count() and all(0 <= r.score <= 1 for r in found)
+    by_text = {}
+    for row in odd.collect():
+        by_text.setdefault(row.text or "", set()).add(row.doc_id)
+    scores = {}
+    for r in found:
+        scores.setdefault(r.doc_id, set()).add(r.score)
+    assert scores[0] == scores[1]  # null and empty
+    none = quality.scored(odd, labels.where("quality = 0")).collect()
+    assert {(r.score, r.predicted) for r in none} == {(0.5, 1)}
+    only = quality.scored(odd, labels.where("quality = 1")).collect()
+    assert len(only) == len(found) and all(0 <= r.score <= 1 for r in only)
+    assert quality.scored(documents([]), labels).collect() == []
+    assert len(quality.scored(odd, labels.limit(0)).collect()) == len(found)
+
+
+def test_pair_counts_are_those_of_all_rows(spark, small):
+    rows = quality.with_measures(small).cache()
+    cuts = quality.cuts_of(rows)
+    table = rows.toArrow()["measures"].combine_chunks()
+    at = quality.ranges(table, cuts)
+    dense = np.zeros((len(at), quality.n_features(cuts)))
+    np.put_along_axis(dense, at, 1, 1)
+    assert (quality.pair_counts(rows, cuts) == dense.T @ dense).all()
+    assert (dense.sum(1) == len(quality.MEASURES) + 1).all()
+
+
+def test_measures_by_hand():
+    text = "One one. TWO\n\nOne one. TWO\nx1!".encode()
+    found = dict(zip(quality.MEASURES, quality.measured(text)))
+    assert found["length"] == np.log2(len(text) + 1)
+    assert found["word_length"] == len(text) / 7
+    assert found["distinct_lines"] == 2 / 3
+    assert found["upper_words"] == 2 / 7
+    assert found["capitals"] == 4 / 7
+    assert found["closed_words"] == 3 / 7
+    assert found["calls"] == 1 / len(text) and found["digits"] == 1 / len(text)
+    assert found["closed_lines"] == 1 / 3
+    assert all(np.isfinite(quality.measured(t)).all() for t in (b"", b" ", b"\x00\xff", b"a" * 100000))
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.6, 0.9])
+def test_weights_have_the_least_non_negative_risk(prior):
+    rng = np.random.default_rng(5)
+    good = rng.random(400) < 0.6
+    rows = np.column_stack([np.ones(400), rng.random((400, 12)) < np.where(good[:, None], 0.6, 0.3)]).astype(float)
+    p = rows[good][:60]
+    risks = quality.Risks(p.T @ p / len(p), rows.T @ rows / len(rows))
+
+    def risk(w):
+        loss = lambda margin: np.mean((1 - margin) ** 2) / 4
+        negative = loss(-(rows @ w)) - prior * loss(-(p @ w))
+        # the penalty of the quadratic form is a quarter of ridge * |w|^2
+        return prior * loss(p @ w) + max(0.0, negative) + quality.RIDGE * w @ w / 4
+
+    best = risks.fitted(prior)
+    least = risk(best)
+    for size in (1e-3, 1e-2, 1e-1):
+        assert all(risk(best + size * rng.standard_normal(13)) >= least - 1e-9 for _ in range(300))
+
+
+# -- op12 ----------------------------------------------------------------------------------------------
+
+
+def brute_mined(rows, every=100, positives=5, negatives=10, low=30, high=90, scale=256):
+    taken = [(i, [math.floor(scale * float(np.float32(c))) for c in v], y) for i, v, y in rows if y is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    order = lambda pair: (-pair[0], pair[1][0] is None, pair[1][0] or 0)
+    out = []
+    for a, (anchor, v, y) in enumerate(taken):
+        if anchor is None or anchor % every:
+            continue
+        scored = [(sum(p * q for p, q in zip(v, w)), (i, z)) for b, (i, w, z) in enumerate(taken) if b != a]
+        for score, (i, _) in sorted((s for s in scored if s[1][1] == y), key=order)[:positives]:
+            fits = sorted((s for s in scored if s[1][1] != y and low * score <= 100 * s[0] <= high * score), key=order)
+            out += [(anchor, i, r, j, score, other) for r, (other, (j, _)) in enumerate(fits[:negatives], 1)]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("block, bucket", [(16_384, 2048), (40, 8)])
+def test_hard_negatives_are_those_of_brute_force(vectors, monkeypatch, block, bucket):
+    monkeypatch.setattr(hard_negatives, "BLOCK", block)
+    monkeypatch.setattr(hard_negatives, "GROUP", block // 20)
+    rows = odd_vectors(np.random.default_rng(1))
+    found = sorted((tuple(r) for r in hard_negatives.mined(vectors(rows), every=20).collect()), key=str)
+    assert len(found) > 500 and found == brute_mined(rows, every=20)
+
+
+def test_hard_negatives_of_odd_tables(vectors):
+    mined = lambda rows: sorted((tuple(r) for r in hard_negatives.mined(vectors(rows)).collect()), key=str)
+    assert mined([]) == []
+    assert mined([(0, [1.0], 1)]) == []
+    assert mined([(0, [], 1), (1, [], 1), (2, [], 2)]) == [(0, 1, 1, 2, 0, 0)]
+    shorter = [(0, [1.0, 1.0], 1), (1, [1.0], 1), (2, [0.5, 0.2, 3.0], 2), (3, [-1.0], 2)]
+    assert mined(shorter) == brute_mined(shorter) != []
+    with pytest.raises(Exception, match="squared length"):
+        mined([(0, [1e30], 1), (1, [1.0], 1)])
+
+
+def test_search_prunes_and_keeps_all_that_count():
+    """Sorted lists leave out most rows of peaked vectors, and never one that reaches the score asked for."""
+    rng = np.random.default_rng(2)
+    peaked = rng.standard_normal((4000, 16)) * np.where(rng.random((4000, 16)) < 0.15, 3.0, 0.1)
+    rows = np.floor(256 * peaked / np.linalg.norm(peaked, axis=1, keepdims=True))  # a block has rows of like lengths
+    anchors = rows[:20]
+    bucket = hard_negatives._buckets(np.arange(2048), rows)[0]
+    lengths = np.sqrt((anchors**2).sum(1))
+    least = 0.8 * lengths**2
+    focus = np.argsort(-np.abs(anchors), axis=1)[:, :3]
+    found = hard_negatives.candidates(bucket, anchors, lengths, least, focus)
+    for a, kept in enumerate(found):
+        reach = np.flatnonzero(bucket.vectors @ anchors[a] >= least[a])
+        assert kept is None or set(reach) <= set(kept.tolist())
+    assert np.mean([len(bucket.rows) if kept is None else len(kept) for kept in found]) < 0.2 * len(bucket.rows)
+
+
+# -- op13 ----------------------------------------------------------------------------------------------
+
+
+def brute_white(rows, k, scale=64):
+    taken = [(i, [math.floor(scale * float(np.float32(c))) + 1_000_000 for c in v]) for i, v in rows if v is not None and all(c is not None and math.isfinite(c) for c in v)]
+    n, d = len(taken), len(taken[0][1])
+    sums = [sum(v[j] for _, v in taken) for j in range(d)]
+    exact = [sum((n * v[j] - sums[j]) ** 2 for j in range(d)) for _, v in taken]
+    centred = np.array([[(n * v[j] - sums[j]) / n for j in range(d)] for _, v in taken])
+    values, vectors = np.linalg.eigh(centred.T @ centred / n)
+    order = np.argsort(-values)[:k]
+    return taken, exact, values[order], centred @ vectors[:, order] / np.sqrt(values[order]), values.sum()
+
+
+def test_whitened_rows_are_those_of_a_dense_solver(vectors):
+    rng = np.random.default_rng(3)
+    mixed = rng.standard_normal((400, 40)) @ np.diag(np.linspace(3, 0.3, 40)) @ np.linalg.qr(rng.standard_normal((40, 40)))[0] + 7
+    rows = [(i, list(v), 0) for i, v in enumerate(mixed)] + [(7, None, 0), (8, [math.nan] * 40, 0), (9, [None] * 40, 0), (500, list(mixed[0]), None)]
+    taken, exact, values, white, trace = brute_white([r[:2] for r in rows], 32)
+    found = {r.vec_id: r for r in whitening.whitened(vectors(rows), 32).collect()}
+    assert sorted(found) == sorted(i for i, _ in taken)
+    got = np.array([found[i].whitened for i, _ in taken])
+    signs = np.sign((got * white).sum(0))
+    assert np.abs(got * signs - white).max() < 1e-8
+    assert [int(found[i].deviation) for i, _ in taken] == exact
+    assert {r.n for r in found.values()} == {len(taken)}
+    first = next(iter(found.values()))
+    assert np.allclose(first.explained, values / trace, rtol=1e-10) and first.identity_error < 1e-10
+
+
+def test_whitening_of_odd_tables(vectors):
+    white = lambda rows, k=32: whitening.whitened(vectors(rows), k).collect()
+    assert white([]) == [] and white([(1, None, 0)]) == []
+    same = white([(i, [1.0, 2.0], 0) for i in range(5)])
+    assert [(r.n, int(r.deviation), r.whitened) for r in same] == [(5, 0, [])] * 5
+    line = white([(i, [float(i), 2.0 * i, 5.0], 0) for i in range(10)] + [(None, [3.0, 6.0, 5.0], 0)] * 2)
+    assert {len(r.whitened) for r in line} == {1} and line[0].explained == pytest.approx([1.0])
+    assert sum(r.vec_id is None for r in line) == 2
+    assert white([(0, [], 0)])[0].whitened == []
+    with pytest.raises(ValueError, match="equally many"):
+        white([(0, [1.0], 0), (1, [1.0, 2.0], 0)])
+    with pytest.raises(Exception, match="a component times"):
+        white([(0, [1e30], 0)])
+    # large entries and sums beyond 64 bits in products stay exact
+    large = [(i, [2.0**24 + 4096 * i, -(2.0**24)], 0) for i in range(9)]
+    taken, exact, *_ = brute_white([r[:2] for r in large], 2)
+    assert sorted(int(r.deviation) for r in white(large)) == sorted(exact)
+
+
+@pytest.mark.parametrize("d, k", [(1, 1), (5, 5), (64, 32), (300, 12)])
+def test_eigenpairs_reach_double_precision(d, k):
+    rng = np.random.default_rng(d)
+    root = rng.standard_normal((d, d)) * np.linspace(1, 5, d)
+    matrix = root @ root.T / d
+    passes = []
+
+    def times(block):
+        passes.append(block.shape[1])
+        return matrix @ block
+
+    values, vectors = whitening.jacobi_davidson(times, d, k)
+    exact = np.linalg.eigvalsh(matrix)[::-1][:k]
+    assert np.allclose(values, exact, rtol=1e-11)
+    assert np.abs(vectors.T @ vectors - np.eye(k)).max() < 1e-12
+    assert np.sqrt(((matrix @ vectors - vectors * values) ** 2).sum(0)).max() <= 2 * whitening.DONE * values[0]
+    assert len(passes) < 120
+
+
+def test_minres_solves_indefinite_systems():
+    rng = np.random.default_rng(4)
+    matrix = rng.standard_normal((20, 20))
+    matrix = matrix + matrix.T
+    right = rng.standard_normal((20, 3))
+    right[:, 2] = 0
+    found = whitening.minres(lambda block: matrix @ block, right, 60, 1e-13)
+    assert np.abs(matrix @ found - right).max() < 1e-8 and (found[:, 2] == 0).all()
+
+
+def test_equal_eigenvalues(vectors):
+    rows = [(i, list(v), 0) for i, v in enumerate(np.vstack([np.eye(6), -np.eye(6)]) * 4)]
+    found = whitening.whitened(vectors(rows), 32).collect()
+    white = np.array([r.whitened for r in found])
+    assert white.shape == (12, 6) and np.abs(white.T @ white / 12 - np.eye(6)).max() < 1e-12

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, chat_format, exact_dedup, order_minhash, packing, sharding, simhash, suffix_dedup
-from tidemark.llm import token_counts, toxicity
+from tidemark.llm import bpe, chat_format, exact_dedup, hard_negatives, order_minhash, packing, quality, sharding, simhash
+from tidemark.llm import suffix_dedup, token_counts, toxicity, whitening
 
 RANKS, SEPARATOR = "byte_bpe_50k.tiktoken", 50256
 
@@ -78,6 +78,24 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", removed.alias("n_removed"), spans, F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").withColumn("label", relabelled)
+    return hard_negatives.mined(rows, every=100, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whitened(_table(spark, sf_dir, "embeddings"), components=32, scale=64)
+    by_component = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "of")
+    found = found.select("vec_id", "n", F.col("deviation").cast("long"), "identity_error", by_component)
+    shown = [(F.col("at") + 1).alias("component"), "n", "deviation", "of.whitened", "of.explained", "identity_error"]
+    return found.select("vec_id", *shown)
+
+
 def queries() -> dict:
     import corpus_pipeline
 
@@ -103,4 +121,26 @@ _SQL = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256
         FROM texts JOIN owners USING (norm)
     """,
+    "op12_hard_negatives": """
+        WITH whole AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+        ), scores AS (
+            SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike,
+                CAST(list_dot_product(a.x, r.x) AS BIGINT) AS score
+            FROM whole AS a JOIN whole AS r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+        ), positives AS (
+            SELECT * FROM scores WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, p.vec_id AS positive_id,
+            CAST(row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS INTEGER) AS rank,
+            n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+        FROM positives AS p JOIN scores AS n USING (anchor_id)
+        WHERE NOT n.alike AND 100 * n.score BETWEEN 30 * p.score AND 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }
