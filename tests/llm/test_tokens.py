@@ -54,11 +54,12 @@ def test_merges_follow_ranks_that_fall():
 
 
 def test_known_pieces_are_bounded(own, library, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_PIECES", 10)
+    monkeypatch.setattr(bpe, "MAX_HELD", 4000)
     for n in range(5):
         texts = [f"word{n}x{i} and {'y' * 100}" for i in range(20)]
         assert own.encode(texts) == [packed(library.encode_ordinary(t)) for t in texts]
     assert all(len(piece) <= bpe.MAX_PIECE for piece in own.known)
+    assert own.held == sum(bpe._PIECE_BYTES + len(piece) + len(ids) for piece, ids in own.known.items()) <= 4000 + 40 * 300
 
 
 def test_queue_orders_ranks_and_places():
@@ -125,3 +126,15 @@ def test_scan_stitches_blocks(spark, width, monkeypatch):
     expected = {(name, *row) for name, tokens in files.items() for row in counted_by_hand(tokens, 50256)}
     assert {tuple(r) for r in found} == expected
     assert len(found) == len(expected)
+
+
+def test_ids_and_separators_must_fit(spark, odd, tmp_path):
+    ranks = tmp_path / "ranks"
+    lines = [(bytes([b]), b) for b in range(256)] + [(b"ab", 70_000)]
+    ranks.write_text("".join(f"{base64.b64encode(t).decode()} {n}\n" for t, n in lines))
+    for separator, width, message in ((70_001, 2, "do not fit"), (-1, 4, "do not fit"), (7, 4, "is a token")):
+        with pytest.raises(ValueError, match=message):
+            token_counts.documents_counted(odd, str(ranks), r"\S+|\s+", separator, width)
+    found = token_counts.documents_counted(odd, str(ranks), r"\S+|\s+", 70_001, 4).collect()
+    assert len(found) == odd.count() and {r.n_tokens for r in found if r.doc_id == 0} == {0}
+    assert token_counts.documents_counted(odd.limit(0), str(ranks), r"\S+|\s+", 70_001, 4).collect() == []

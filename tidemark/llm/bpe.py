@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import few_rows
 
-#: Bounds of the broadcast rank file and of the pieces that a worker remembers.
-MAX_FILE, MAX_PIECES, MAX_PIECE = 64 << 20, 800_000, 64
+#: Bounds of the broadcast rank file, of the bytes in which a worker remembers pieces, and of such a piece.
+MAX_FILE, MAX_HELD, MAX_PIECE = 64 << 20, 64 << 20, 64
+#: About what a piece takes beside its characters and ids: two objects and a place in a table.
+_PIECE_BYTES = 200
 _WORD = 8  # a bitmap word has 2 ** _WORD bits
 
 
@@ -79,6 +81,7 @@ class Encoder:
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # pieces known before; those in use come back from here
+        self.held = 0  # bytes that ``known`` takes
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """The ids of each piece, which must not be empty, as little-endian 32-bit integers.
@@ -150,8 +153,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
         split = [self.split(text) for text in texts]
-        if len(self.known) > MAX_PIECES // 2:
-            self.known, self.older = {}, self.known
+        if self.held > MAX_HELD // 2:
+            self.known, self.older, self.held = {}, self.known, 0
         known, older, fresh = self.known, self.older, {}
         new = {piece for pieces in split for piece in pieces if piece not in known}
         rare = []
@@ -167,9 +170,11 @@ class Encoder:
             fresh.update(zip((p for p, _ in rare), self.merge([d for _, d in rare])))
         known.update(fresh)
         found = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-        for piece in fresh:
+        for piece, ids in fresh.items():
             if len(piece) > MAX_PIECE:
                 del known[piece]
+            else:
+                self.held += _PIECE_BYTES + len(piece) + len(ids)
         return found
 
     def decode(self, ids: bytes) -> bytes:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe
-from tidemark.llm.common import written
+from tidemark.llm.common import few_rows, written
 from tidemark.workspace import shared_folder
 
 #: Bytes that are read and searched at once, and blocks that one window of the prefix scan has.
@@ -29,23 +29,29 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
 def write_tokens(docs: DataFrame, folder: str, path: str, pattern: str, separator: int, width: int) -> DataFrame:
     """Write each task's documents to a flat file, each followed by the separator; returns (file, place, doc_id).
 
-    Tokens are little-endian integers of ``width`` bytes. A task that runs again writes another file; only files
-    in the result count. A null text has no tokens.
+    Tokens are little-endian integers of ``width`` bytes; ids that do not fit, and a separator that a token has or
+    that does not fit, are an error before anything is written. A task that runs again writes another file; only
+    files in the result count. A null text has no tokens.
     """
-    tokens = bpe.encoded(docs, path, pattern)
+    ranks = bpe.shared_ranks(docs, path)
+    ids = bpe.encoder(ranks.value, pattern).ranks.values()
+    if max(separator, *ids) >= 1 << 8 * width or separator < 0:
+        raise ValueError(f"ids of {path}, or the separator, do not fit {width} bytes")
+    if separator in ids:
+        raise ValueError(f"the separator {separator} is a token of {path}")
     kind = f"<u{width}"
     end = np.array([separator], kind).tobytes()
 
     def run(batches):
+        # encoded and written by the same worker, so that a core has one
+        encode = bpe.encoder(ranks.value, pattern).encode
         name, place, out = f"{TaskContext.get().partitionId()}-{uuid.uuid4().hex}.tokens", 0, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in few_rows(batches):
             if out is None:
                 system, inside = opened(folder)
                 out = system.open_output_stream(f"{inside}/{name}")
-            for ids in batch.column("ids").to_pylist():
-                out.write(np.frombuffer(ids, "<u4").astype(kind).tobytes() + end)
+            for found in encode(batch.column("text").to_pylist()):
+                out.write(np.frombuffer(found, "<u4").astype(kind).tobytes() + end)
             n = batch.num_rows
             places = pa.array(range(place, place + n), pa.int64())
             place += n
@@ -55,7 +61,8 @@ def write_tokens(docs: DataFrame, folder: str, path: str, pattern: str, separato
 
     system, inside = opened(folder)
     system.create_dir(inside)
-    return written(tokens.mapInArrow(run, "file string, place long, doc_id long"))
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    return written(rows.mapInArrow(run, "file string, place long, doc_id long"))
 
 
 def separators(blocks, separator: int, width: int, block: int):
@@ -121,7 +128,11 @@ def count_tokens(spark: SparkSession, folder: str, separator: int, width: int, b
 
 
 def documents_counted(docs: DataFrame, path: str, pattern: str, separator: int, width: int = 2) -> DataFrame:
-    """(doc_id, n_tokens) of ``docs``, written to flat files and counted there."""
+    """(doc_id, n_tokens) of each row of ``docs``, written to flat files and counted there.
+
+    Repeated rows and rows without a doc_id count each; a null text has 0 tokens. Other columns are not read. An
+    empty table writes no file and gives no rows.
+    """
     spark = docs.sparkSession
     folder = f"{shared_folder(spark)}/tokens_{uuid.uuid4().hex}"
     index = write_tokens(docs, folder, path, pattern, separator, width)
