@@ -62,7 +62,26 @@ def test_copies_leave_with_all_columns(odd):
     left = exact_dedup.without_copies(odd)
     assert left.columns == odd.columns
     ids = sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in left.collect())
-    assert ids == [(False, i) for i in (2, 3, 7, 8, 9, 10, 11, 12, 13, 77)] + [(True, 0)]
+    # neither the null id nor the second row of id 3 stays: their text is that of row 3
+    assert ids == [(False, i) for i in (2, 3, 7, 8, 9, 10, 11, 12, 13, 77)]
+
+
+def test_what_stays_is_decided_row_by_row(spark, documents):
+    """A repeated id keeps only the texts that the operator keeps for it, and rows without an id go like others."""
+    docs = documents([(1, "longest  text  here"), (1, "other words"), (2, "other   words"), (None, "a b c d"), (None, "a  b c d"), (5, "ab  cd")], _kept="k", row="r", id="i")
+    left = exact_dedup.without_copies(docs)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text, r._kept, r.row) for r in left.collect()) == Counter(
+        [(1, "longest  text  here", "k", "r"), (2, "other   words", "k", "r"), (None, "a  b c d", "k", "r")]
+    )
+    words = " ".join(f"w{i}" for i in range(60))
+    near = documents([(4, words), (2, words.replace("w7 ", "w7  ")), (None, words), (None, "x y z"), (None, "x  y z"), (9, words + "!"), (9, "q r s")], _kept="k", fp="f", digest="d")
+    single = simhash.one_of_each(near)
+    assert single.columns == near.columns
+    found = sorted((r.doc_id is None, r.doc_id or 0, r.text.split()[0], r.digest) for r in single.collect())
+    linked = {i for i, r in components_by_hand([(i, fingerprint_by_hand(t.encode())) for i, t in enumerate([words, words + "!"])]).items() if r == i}
+    expected = [(False, 2, "w0", "d"), (False, 9, "q", "d"), (True, 0, "x", "d")] + ([(False, 9, "w0", "d")] if len(linked) == 2 else [])
+    assert found == sorted(expected)
 
 
 # -- simhash -------------------------------------------------------------------------------------------
@@ -223,6 +242,12 @@ def test_passages_around_hot_triggers(small, odd, documents, hot):
         assert passages(docs, length=length, chunk_rows=7, hot_phrases=hot) == passages_by_hand(rows_of(docs), length)
 
 
+def test_a_file_holds_any_number_of_chunks(documents, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "MAX_FILES", 3)
+    docs = documents(licensed(80))
+    assert passages(docs, chunk_rows=2) == passages_by_hand(rows_of(docs))
+
+
 def licensed(n):
     """Texts that share one line, each with words of its own before and after it."""
     draw = random.Random(21)

@@ -138,6 +138,33 @@ def test_repeated_rows_train_once(documents, spark):
         assert (a.words == b.words).all() and a.bias == b.bias and (a.earlier == b.earlier).all()
 
 
+def test_labels_of_no_document_change_nothing(spark, documents):
+    """The bound on labelled documents counts those that are there, however many labels have none."""
+    docs = documents([(i, f"grobian word{i % 7} plain{i}" if i % 6 == 0 else f"word{i % 7} plain{i}") for i in range(120)])
+    labels = spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    more = spark.range(1_000_000, 1_300_000).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    plain, crowded = ({r.doc_id for r in toxicity.scored(docs, known).where("toxic").collect()} for known in (labels, labels.unionByName(more)))
+    assert plain == crowded == set(range(0, 120, 6))
+
+
+def test_odds_come_from_the_other_folds():
+    draw = np.random.default_rng(8)
+    texts = [b" ".join(b"w%d" % draw.integers(40) for _ in range(12)) for _ in range(200)]
+    texts += [b"  " + t.upper().replace(b" ", b"\n") for t in texts[:50]]
+    fold = np.array([toxicity.fold_of(t) for t in texts])
+    assert (fold[200:] == fold[:50]).all() and len(set(fold.tolist())) == toxicity.FOLDS
+    rows = [toxicity.features(t) for t in texts]
+    y = np.array([b"w1" in t.lower().split() for t in texts], float)
+    before = draw.standard_normal((len(rows), 1))
+    found = toxicity.out_of_fold(rows, before, y, fold)
+    for k in range(toxicity.FOLDS):
+        train = [i for i in range(len(rows)) if fold[i] != k]
+        model = toxicity.fit_linear([rows[i] for i in train], before[train], y[train])
+        for i in np.flatnonzero(fold == k):
+            by_hand = sum(float(model.words[f]) for f in rows[i]) + float(before[i] @ model.earlier) + model.bias
+            assert found[i] == pytest.approx(by_hand, abs=1e-4)
+
+
 def test_toxicity_of_odd_tables(spark, odd):
     labels = spark.createDataFrame([(None, 1, 1), (5, None, 0), (6, 1, 1), (6, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.scored(odd, labels).count() == odd.count()
@@ -147,6 +174,13 @@ def test_toxicity_of_odd_tables(spark, odd):
     assert left.columns == odd.columns
 
 
+def test_equal_rows_spread_over_groups(spark):
+    same = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same words").alias("text"), F.lit("s").alias("source"))
+    found = packing.packed_texts(same).groupBy("group").count().collect()
+    assert sum(r["count"] for r in found) == 30_000 and len(found) == 8
+    assert max(r["count"] for r in found) < 1.2 * 30_000 / 8
+
+
 # -- order minhash -------------------------------------------------------------------------------------
 
 

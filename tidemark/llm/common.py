@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.text import quoted
 from tidemark.workspace import shared_folder
 
 
@@ -26,6 +27,24 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def id_text(doc_id: Column) -> Column:
+    """An id as text, empty for null, so that it joins and groups like any other value."""
+    return F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))
+
+
+def one_row_each(docs: DataFrame, kept: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """One row of ``docs`` for each row of ``kept``, whose columns are the ``keys``; keys must not be null.
+
+    Rows travel whole in one column beside their keys, so that no column of ``docs`` can clash. The rows of a key
+    lie together after the join, so that the choice among them needs no further shuffle.
+    """
+    whole = F.struct(*(F.col(quoted(c)) for c in docs.columns))
+    rows = docs.select(whole.alias("row"), *(key.alias(name) for name, key in keys.items()))
+    found = rows.join(kept.select(*keys).distinct(), list(keys), "left_semi")
+    first = F.min_by("row", F.xxhash64(F.coalesce("row.text", F.lit("")))).alias("row")
+    return found.groupBy(*keys).agg(first).select(*(F.col(f"row.{quoted(c)}") for c in docs.columns))
+
+
 def few_rows(batches, rows: int = 256):
     """The rows of Arrow batches, a few at a time, so that a batch of any size takes little memory beside itself."""
     for batch in batches:

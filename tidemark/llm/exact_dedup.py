@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import few_rows, whole_text
+from tidemark.llm.common import few_rows, id_text, one_row_each, whole_text
 
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
@@ -106,7 +106,7 @@ def owner_of(n_chars: int, doc_id: int | None) -> tuple:
 
 
 OWNED = pa.schema([("part", pa.binary()), ("norm", pa.binary()), ("n_chars", pa.int64()), ("doc_id", pa.int64()), ("copies", pa.int64())])
-CLASSES = pa.schema([("sha", pa.binary()), ("keep_id", pa.int64()), ("group_size", pa.int64())])
+CLASSES = pa.schema([("sha", pa.binary()), ("keep_id", pa.int64()), ("keep_chars", pa.int64()), ("group_size", pa.int64())])
 
 
 def _owned(rows) -> pa.RecordBatch:
@@ -127,7 +127,7 @@ def _chunks(rows, most: int = 8 << 20):
 
 
 def duplicate_classes(docs: DataFrame, trie_bytes: int = 32 << 20) -> DataFrame:
-    """(sha, keep_id, group_size) for each distinct normalised text of (doc_id, text).
+    """(sha, keep_id, keep_chars, group_size) for each distinct normalised text of (doc_id, text).
 
     Each input task inserts its texts into a trie of at most ``trie_bytes`` of edges (one more text may exceed
     it); beyond, the largest subtree goes on to the shuffle. So a text with any number of copies is sent about
@@ -161,16 +161,16 @@ def duplicate_classes(docs: DataFrame, trie_bytes: int = 32 << 20) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"), F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))
     owned = texts.mapInArrow(pre_aggregate, "part binary, norm binary, n_chars long, doc_id long, copies long")
     merged = owned.repartition("part").sortWithinPartitions("part")
-    return merged.mapInArrow(merge, "sha binary, keep_id long, group_size long")
+    return merged.mapInArrow(merge, "sha binary, keep_id long, keep_chars long, group_size long")
 
 
 def _classes(trie: PatriciaTrie):
     for norm, owner, copies in trie.drain():
-        yield hashlib.sha256(norm).digest(), None if owner[1] else owner[2], copies
+        yield hashlib.sha256(norm).digest(), None if owner[1] else owner[2], -owner[0], copies
 
 
 def _class_batch(rows) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 3, CLASSES)], schema=CLASSES)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 4, CLASSES)], schema=CLASSES)
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
@@ -196,11 +196,14 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
+    """One row of ``docs`` for each normalised text, with all its columns: the one that ``exact_duplicates`` keeps.
 
-    Equal rows with one id become one. Rows without an id stay, one for each text.
+    That is decided for each row by its text, its length and its doc_id, so rows without an id, and other texts of
+    a repeated id, stay or go like all others. Of rows that agree in all three, one stays. Columns of any name pass.
     """
-    kept = exact_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    # the rows of an id lie together after the join, so that this needs no further shuffle
-    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL").dropDuplicates(["text"]))
+    spaces = "".join(map(chr, WHITE_SPACE))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = duplicate_classes(docs)
+    kept = found.select(F.lower(F.hex("sha")).alias("sha"), F.col("keep_chars").alias("n"), id_text(F.col("keep_id")).alias("id"))
+    keys = {"sha": F.sha2(F.translate(text, spaces, ""), 256), "n": F.char_length(text).cast("long"), "id": id_text(F.col("doc_id"))}
+    return one_row_each(docs, kept, keys)

@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import written
+
 CAPACITY = 16384
 #: Documents a packing task is dealt on average.
 GROUP_ROWS = 4096
@@ -86,17 +88,20 @@ def packed(docs: DataFrame, size: Column, source: Column, cluster: Column, capac
     A document of more than ``capacity`` fills bins of its own with all but its last piece; every document has a
     last piece, of size 0 where it is empty (or its size null). No bin holds more than the capacity, two documents
     of one source, or two of one cluster; a null source or cluster conflicts with none. A piece goes to the
-    tightest compatible bin. Rows that repeat a doc_id are separate documents.
+    tightest compatible bin. Rows that repeat a doc_id, or have none, are separate documents. An empty table
+    gives an empty result; other columns are not read.
 
-    Documents are dealt to groups by a hash of doc_id, size and cluster, ``GROUP_ROWS`` to a group on average,
-    and each group is packed in one task: sources and clusters of any size spread over the groups, and the bins
-    that a group leaves open are few against the bins it fills. Only these columns are shuffled.
+    Documents are numbered and dealt to groups by a hash of the number, ``GROUP_ROWS`` to a group on average,
+    and each group is packed in one task: equal rows, sources and clusters of any size spread over the groups, and
+    the bins that a group leaves open are few against the bins it fills. Only these columns are written and shuffled.
     """
     items = docs.select(
         F.col("doc_id").cast("long"), F.coalesce(size, F.lit(0)).cast("long").alias("size"), source.cast("string").alias("source"), cluster.alias("cluster")
     )
-    groups = max(1, math.ceil(docs.count() / GROUP_ROWS))
-    dealt = F.pmod(F.xxhash64("doc_id", "size", "cluster"), F.lit(groups)).alias("group")
+    # numbers are fixed by being written: a lost task finds the same ones
+    items = written(items.withColumn("number", F.monotonically_increasing_id()))
+    groups = max(1, math.ceil(items.count() / GROUP_ROWS))
+    dealt = F.pmod(F.xxhash64("number"), F.lit(groups))
 
     def run(key, table):
         table = table.sort_by([("doc_id", "ascending"), ("size", "ascending"), ("cluster", "ascending"), ("source", "ascending")])
@@ -114,7 +119,7 @@ def packed(docs: DataFrame, size: Column, source: Column, cluster: Column, capac
         return pa.Table.from_arrays([*columns[:4], group, *columns[4:]], ["doc_id", "piece", "start", "size", "group", "bin", "position"])
 
     out = "doc_id long, piece long, start long, size long, group long, bin long, position long"
-    return items.withColumn("group", dealt).groupBy("group").applyInArrow(run, out)
+    return items.withColumn("group", dealt).drop("number").groupBy("group").applyInArrow(run, out)
 
 
 def packed_texts(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, few_rows, whole_text, written
+from tidemark.llm.common import connected_components, few_rows, id_text, one_row_each, whole_text, written
 
 BITS = 64
 #: Costs that weigh a probing row against a comparison of two fingerprints, in seconds.
@@ -47,16 +47,22 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each whole text as a signed long; null is empty."""
+def fingerprints(docs: DataFrame, shingle: int = 3, digest: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint of each whole text as a signed long; null is empty. If asked, a digest of the text too."""
 
     def run(batches):
         for batch in few_rows(batches):
-            ids, texts = batch.columns
-            found = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            found = np.array([fingerprint(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+            others = [batch.column("doc_id"), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays([*others, pa.array(found.view(np.int64))], ["doc_id", *batch.schema.names[2:], "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), whole_text().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    also = [digest_of_text().alias("digest")] if digest else []
+    rows = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"), *also)
+    return rows.mapInArrow(run, f"doc_id long, {'digest string, ' if digest else ''}fp long")
+
+
+def digest_of_text():
+    return F.sha2(whole_text(), 256)
 
 
 def bit_statistics(distinct: DataFrame) -> tuple[int, np.ndarray]:
@@ -219,21 +225,29 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     doc_id counts only where a component has no other id. Other columns of ``docs`` are not read.
     """
     fps = written(fingerprints(docs, shingle))
-    distinct = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    rooted = rooted_fingerprints(fps, distance, F.min("doc_id").alias("first"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    classes = rooted.join(least, "root").select("fp", "component_id")
+    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+
+
+def rooted_fingerprints(fps: DataFrame, distance: int, of_each) -> DataFrame:
+    """(fp, first, root) for each distinct fingerprint: ``of_each`` over its rows, and what names its component."""
+    distinct = written(fps.groupBy("fp").agg(of_each))
     roots = connected_components(linked(distinct.select("fp"), distance))
     joined = distinct.join(roots, distinct["fp"] == roots["node"], "left")
-    joined = joined.select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = joined.join(least, "root").select("fp", "component_id")
-    return fps.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return joined.select("fp", "first", F.coalesce("root", "fp").alias("root"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is their component's smallest, with all their columns.
+    """One row of ``docs`` for each component, with all its columns: the one with the smallest doc_id.
 
-    Of several rows with that id one stays. Rows without an id stay, as no component is named after them.
+    Ids come before null; of several texts of that id the one with the least digest stays, of equal rows one. So
+    rows without an id stay only where nothing in their component has one, one for each component.
     """
-    found = near_duplicates(docs, shingle, distance)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, F.col("doc_id") == F.col("_kept"), "left_semi")
-    return named.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    fps = written(fingerprints(docs, shingle, digest=True))
+    rooted = rooted_fingerprints(fps, distance, F.min(order).alias("first"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    kept = least.select(id_text(F.col("first.doc_id")).alias("id"), F.col("first.digest").alias("digest"))
+    return one_row_each(docs, kept, {"id": id_text(F.col("doc_id")), "digest": digest_of_text()})

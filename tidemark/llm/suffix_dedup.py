@@ -48,6 +48,8 @@ TRIGGER = 16
 STRETCH = 1 << 20
 #: Phrases around one trigger (86 bytes and an id each) that one task sorts.
 HOT = 1 << 18
+#: Files by chunk that the documents are written to at most; a file has any number of chunks.
+MAX_FILES = 1 << 14
 _BASE, _MIX = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93)
 _NO_ID = np.iinfo(np.int64).max
 
@@ -389,7 +391,7 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
     kinds = T.StructType([T.StructField("chunk", T.LongType()), *rows.schema])
     rows = rows.mapInArrow(lambda batches: chunked(batches, chunk_rows, chunk_bytes), kinds)
     table = f"{quoted(new_database(spark, 'passages'))}.{quoted('t' + uuid.uuid4().hex)}"
-    rows.write.format("parquet").bucketBy(buckets, "chunk").sortBy("chunk").saveAsTable(table)
+    rows.write.format("parquet").bucketBy(min(buckets, MAX_FILES), "chunk").sortBy("chunk").saveAsTable(table)
     stored = spark.table(table)
 
     def opened(table: pa.Table) -> Chunk:

@@ -18,6 +18,8 @@ CATEGORIES = ("quality", "toxic")
 FEATURES = 1 << 18
 #: At most so many labelled documents are fitted on; scoring covers all documents.
 MAX_LABELLED = 5000
+#: Parts of the labelled documents that are judged in turn by models of the others.
+FOLDS = 5
 #: Lengths in bytes of the beginnings that stand for a word's inflected forms.
 STEMS = (4, 5, 6, 7, 8)
 
@@ -138,20 +140,32 @@ def best_threshold(chance: np.ndarray, y: np.ndarray) -> float:
     return max(float((chance[order[best]] + below) / 2), min(0.5, 2 * float(y.mean())))
 
 
-def fit_chain(rows: list[np.ndarray], labels: np.ndarray, folds: int = 5) -> tuple[list[Linear], list[float]]:
+def fold_of(text: bytes) -> int:
+    """The fold of a text: equal words in any case and spacing have one, so that no copy is judged by its copy."""
+    return zlib.crc32(b" ".join(text.lower().split())) % FOLDS
+
+
+def out_of_fold(rows: list[np.ndarray], before: np.ndarray, y: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """The log odds of each row by a model fitted on the rows of the other folds."""
+    unseen = np.zeros(len(rows))
+    for k in np.unique(fold):
+        train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        model = fit_linear([rows[i] for i in train], before[train], y[train])
+        unseen[test] = model.log_odds([rows[i] for i in test], before[test])
+    return unseen
+
+
+def fit_chain(rows: list[np.ndarray], labels: np.ndarray, fold: np.ndarray | None = None) -> tuple[list[Linear], list[float]]:
     """A model and a threshold for each column of ``labels``.
 
     Later models are trained with what earlier ones say out of fold: about documents they were not fitted on.
+    Without ``fold``, rows are dealt to folds in turn.
     """
-    fold = np.arange(len(rows)) % folds
+    fold = np.arange(len(rows)) % FOLDS if fold is None else fold
     before = np.zeros((len(rows), 0))
     chain, thresholds = [], []
     for y in labels.T.astype(float):
-        unseen = np.zeros(len(rows))
-        for k in range(folds):
-            train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-            model = fit_linear([rows[i] for i in train], before[train], y[train])
-            unseen[test] = model.log_odds([rows[i] for i in test], before[test])
+        unseen = out_of_fold(rows, before, y, fold)
         chain.append(fit_linear(rows, before, y))
         thresholds.append(best_threshold(sigmoid(unseen), y))
         before = np.column_stack([before, np.clip(unseen, -8, 8)])
@@ -169,12 +183,13 @@ def chances(chain: list[Linear], rows: list[np.ndarray]) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGORIES, max_labelled: int = MAX_LABELLED):
     """(chain, thresholds) from labelled documents, fitted in one task.
 
-    Uses the ``max_labelled`` labelled documents that a hash of the doc_id puts first. Labels without an id or
-    with a null category are left out; of several labels or texts of one id, the largest count.
+    Uses the ``max_labelled`` labelled documents that a hash of the doc_id puts first. Labels without an id, with a
+    null category or of no document are left out; of several labels or texts of one id, the largest count.
     """
     kinds = [F.max(F.col(c).cast("int")).alias(f"y{i}") for i, c in enumerate(categories)]
     known = labels.dropna(subset=["doc_id", *categories]).groupBy(F.col("doc_id").cast("long").alias("_id")).agg(*kinds)
-    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
+    there = docs.select(F.col("doc_id").cast("long").alias("_id")).distinct()
+    chosen = known.join(there, "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), whole_text().alias("text"))
     # at most max_labelled rows of one id and the categories: small enough for every task
     kept = [f"y{i}" for i in range(len(categories))]
@@ -182,9 +197,10 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
 
     def extract(batches):
         for batch in few_rows(batches):
-            words = [features(t).astype(np.int32) for t in batch.column("text").to_pylist()]
-            columns = [batch.column("_id"), pa.array(words, pa.list_(pa.int32())), *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, ["_id", "words", *batch.schema.names[2:]])
+            texts = batch.column("text").to_pylist()
+            words, fold = [features(t).astype(np.int32) for t in texts], [fold_of(t) for t in texts]
+            columns = [batch.column("_id"), pa.array(words, pa.list_(pa.int32())), pa.array(fold, pa.int32()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, ["_id", "words", "fold", *batch.schema.names[2:]])
 
     def train(key, table):
         table = table.sort_by([("_id", "ascending")])
@@ -192,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
         values, ends = words.flatten().to_numpy(), words.offsets.to_numpy()
         rows = np.split(values, ends[1:-1] - ends[0])
         y = np.column_stack([table[f"y{i}"].to_numpy() for i in range(len(categories))])
-        chain, thresholds = fit_chain(rows, y)
+        chain, thresholds = fit_chain(rows, y, table["fold"].to_numpy())
         out = []
         for i, (model, threshold) in enumerate(zip(chain, thresholds)):
             at = np.flatnonzero(model.words)
@@ -201,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = CATEGO
         return pa.Table.from_pylist(out, kind)
 
     labels_sql = ", ".join(f"y{i} int" for i in range(len(categories)))
-    rows = found.mapInArrow(extract, f"_id long, words array<int>, {labels_sql}")
+    rows = found.mapInArrow(extract, f"_id long, words array<int>, fold int, {labels_sql}")
     model = "i int, at array<long>, weight array<double>, earlier array<double>, bias double, threshold double"
     fitted = sorted(rows.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(train, model).collect())
     chain, thresholds = [], []
