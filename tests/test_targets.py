@@ -6,10 +6,12 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import segments as parts_of
 from tidemark.operators import targets
-from tidemark.operators.layout import Layout, analyzed_rows, bucket_count, estimated_bytes, spread_by_key
+from tidemark.operators.layout import Layout, bucket_count, estimated_bytes, spread_by_key
 from tidemark.operators.partitions import Parts
-from tidemark.operators.targets import OWNER, Segment, State, Target, TooManyRejects, bookmarks, published
+from tidemark.operators.segments import Segment, State
+from tidemark.operators.targets import OWNER, Target, TooManyRejects, bookmarks, published
 from tidemark.sources.catalog import table_columns, target_columns
 
 
@@ -104,11 +106,11 @@ def test_folding_keeps_the_rows(spark, target, monkeypatch):
 
 
 def test_what_is_merged():
-    assert targets._merge_start([1000, 10, 10, 10]) == 1
-    assert targets._merge_start([20, 10, 10, 10]) == 0
-    assert targets._merge_start([None, 10, 10]) == 1
-    assert targets._merge_start([1000, 100, 10, 1]) == 2
-    assert targets._merge_start([5, None]) == 0
+    assert parts_of.merge_start([1000, 10, 10, 10]) == 1
+    assert parts_of.merge_start([20, 10, 10, 10]) == 0
+    assert parts_of.merge_start([None, 10, 10]) == 1
+    assert parts_of.merge_start([1000, 100, 10, 1]) == 2
+    assert parts_of.merge_start([5, None]) == 0
 
 
 def test_failed_load_leaves_the_target(spark, target):
@@ -312,7 +314,6 @@ def test_statistics(spark, target):
     assert {row.n_nulls for row in target.statistics("tag").collect()} == {None}
     target.refresh_statistics()
     assert sorted(row.n_nulls for row in target.statistics("tag").collect()) == [0, 1]
-    assert analyzed_rows(spark, target._qualified(target.state().segments[0].table)) == 100
 
 
 def test_bookmarks(spark, database):

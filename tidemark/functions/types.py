@@ -77,6 +77,32 @@ def target_type(
     return T.VarcharType(other_width)
 
 
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether every value of ``old`` is the same value in ``new``, which holds more: longer text, larger numbers."""
+    if old == new:
+        return False
+    if isinstance(old, T.VarcharType):
+        return type(new) is T.StringType or (isinstance(new, T.VarcharType) and new.length > old.length)
+    if old in _EXACT_DIGITS:
+        limit = _EXACT_DIGITS[old]
+        if isinstance(new, T.DecimalType):
+            return new.precision - new.scale >= limit
+        if isinstance(new, (T.FloatType, T.DoubleType)):
+            return limit <= (7 if isinstance(new, T.FloatType) else 15)
+        return _EXACT_DIGITS.get(new, 0) > limit
+    if isinstance(old, T.DecimalType):
+        return (
+            isinstance(new, T.DecimalType)
+            and new.scale >= old.scale
+            and new.precision - new.scale >= old.precision - old.scale
+        )
+    return (old, new) in ((T.FloatType(), T.DoubleType()), (T.DateType(), T.TimestampNTZType()))
+
+
+# Decimal digits that hold every value of a type; doubles hold 15, floats not quite 7.
+_EXACT_DIGITS = {T.ByteType(): 3, T.ShortType(): 5, T.IntegerType(): 10, T.LongType(): 19}
+
+
 def clamp_decimal(source: T.DecimalType, max_precision: int = MAX_PRECISION) -> T.DecimalType:
     """Limit precision to the target's maximum and scale to the precision."""
     precision = min(source.precision, max_precision)

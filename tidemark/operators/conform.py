@@ -16,7 +16,11 @@ from tidemark.functions.text import column
 # Fixed value: the type MySQL-style connectors give to unsigned 64-bit integers.
 UNSIGNED_LONG = T.DecimalType(20, 0)
 
-REJECTED, CUT, RECORD = "_rejected", "_cut", "_record"
+# Columns that loads add to rows; tables cannot have columns of these names.
+REJECTED, CUT, RECORD, REASONS = "_rejected", "_cut", "_record", "_reasons"
+REASON_TYPE = "array<struct<column:string,value:string,wanted:string>>"
+# What a line that is no record should have been.
+A_RECORD = "record"
 
 Columns = list[tuple[str, T.DataType]]
 
@@ -90,22 +94,56 @@ def _misfit(field: T.StructField, to: T.DataType) -> Column | None:
     return value.isNotNull() & conformed(value, field.dataType, to).isNull()
 
 
-def _matched(frame: DataFrame, columns: Columns) -> list[tuple[str, T.DataType, T.StructField | None]]:
-    """Target columns with the frame's field of the same name, whatever the case."""
-    fields = {field.name.lower(): field for field in frame.schema.fields}
-    extra = fields.keys() - {name.lower() for name, _ in columns}
+Matched = list[tuple[str, T.DataType, T.StructField | None]]
+
+
+def _matched(frame: DataFrame, columns: Columns, broken: str | None = None) -> Matched:
+    """Target columns with the frame's field of the same name, whatever the case; ``broken`` is none of them."""
+    fields = {field.name.lower(): field for field in frame.schema.fields if field.name != broken}
+    names = {name.lower() for name, _ in columns}
+    extra = fields.keys() - names
     if extra:
         raise ValueError(f"columns missing in the target: {', '.join(sorted(extra))}")
+    reserved = names & {REJECTED, CUT, RECORD, REASONS}
+    if reserved:
+        raise ValueError(f"columns with reserved names: {', '.join(sorted(reserved))}")
     return [(name, to, fields.get(name.lower())) for name, to in columns]
 
 
-def _rejected(matched: list[tuple[str, T.DataType, T.StructField | None]]) -> Column | None:
-    misfits = [_misfit(field, to) for _, to, field in matched if field is not None]
-    misfits = [misfit for misfit in misfits if misfit is not None]
+def _misfits(matched: Matched) -> list[tuple[str, Column, Column, str]]:
+    """(column, whether a value has no counterpart, the value as text, the type wanted) where that can happen."""
+    found = [(name, _misfit(field, to), field, to) for name, to, field in matched if field is not None]
+    return [
+        (name, misfit, as_text(column(field.name), field.dataType), to.simpleString())
+        for name, misfit, field, to in found
+        if misfit is not None
+    ]
+
+
+def _rejected(matched: Matched, broken: str | None = None) -> Column | None:
+    misfits = [misfit for _, misfit, _, _ in _misfits(matched)]
+    misfits += [column(broken).isNotNull()] if broken else []
     return reduce(or_, misfits) if misfits else None
 
 
-def _cut(matched: list[tuple[str, T.DataType, T.StructField | None]]) -> Column | None:
+def _reasons(matched: Matched, broken: str | None = None) -> Column:
+    """Why a row is rejected: each column with a misfit, its value and the type it should have."""
+    found = [
+        F.when(misfit, F.struct(F.lit(name).alias("column"), value.alias("value"), F.lit(wanted).alias("wanted")))
+        for name, misfit, value, wanted in _misfits(matched)
+    ]
+    if broken:
+        line = F.struct(F.lit(broken).alias("column"), F.lit(None).cast("string").alias("value"), F.lit(A_RECORD).alias("wanted"))
+        found.append(F.when(column(broken).isNotNull(), line))
+    return F.filter(F.array(*found), lambda reason: reason.isNotNull())
+
+
+def fallible_columns(frame: DataFrame, columns: Columns, broken: str | None = None) -> list[str]:
+    """The columns whose values can be a reason to reject a row."""
+    return [name for name, *_ in _misfits(_matched(frame, columns, broken))] + ([broken] if broken else [])
+
+
+def _cut(matched: Matched) -> Column | None:
     """How many values of a row lose text to a column's width; None if there is no such column."""
     cut = [
         F.coalesce((F.octet_length(as_text(column(field.name), field.dataType)) > to.length).cast("int"), F.lit(0))
@@ -115,27 +153,38 @@ def _cut(matched: list[tuple[str, T.DataType, T.StructField | None]]) -> Column
     return reduce(add, cut) if cut else None
 
 
-def align(frame: DataFrame, columns: Columns, count_cut: bool = False, keep_rejects: bool = False) -> DataFrame:
+def align(
+    frame: DataFrame,
+    columns: Columns,
+    count_cut: bool = False,
+    keep_rejects: bool = False,
+    reasons: bool = False,
+    broken: str | None = None,
+) -> DataFrame:
     """The target's columns in the target's order and types.
 
     A reject flag is added where casts can fail, and if asked for the number of cut values where text can be,
-    and the rejected rows as they came, as JSON. A target
+    the reasons of a reject, and the rejected rows as they came, as JSON. A target
     column the frame lacks becomes NULL; a frame column the target lacks is an error. A row is rejected if
     one of its values has no counterpart in the column's type; text is not rejected but cut, except for the
-    JSON of a nested value, which would be broken.
+    JSON of a nested value, which would be broken. A row is also rejected where the column ``broken``, which is
+    not part of the target, has a line that is no record; that line is then kept as it came.
     """
-    matched = _matched(frame, columns)
+    matched = _matched(frame, columns, broken)
     selected = [
         F.lit(None).cast(T.StringType() if isinstance(to, SIZED_TEXT) else to).alias(name)
         if field is None
         else conformed(column(field.name), field.dataType, to).alias(name)
         for name, to, field in matched
     ]
-    rejected = _rejected(matched)
+    rejected = _rejected(matched, broken)
     if rejected is not None:
         selected.append(rejected.alias(REJECTED))
+        if reasons:
+            selected.append(F.when(rejected, _reasons(matched, broken)).alias(REASONS))
         if keep_rejects:
-            whole = F.to_json(F.struct(*(column(n) for n in frame.columns)), {"ignoreNullFields": "false"})
+            whole = F.to_json(F.struct(*(column(n) for n in frame.columns if n != broken)), {"ignoreNullFields": "false"})
+            whole = F.coalesce(column(broken), whole) if broken else whole
             selected.append(F.when(rejected, whole).alias(RECORD))
     cut = _cut(matched) if count_cut else None
     if cut is not None:

@@ -1,4 +1,4 @@
-"""Splitting a table into parts by a hash of one field."""
+"""Splitting a table into parts: by a hash of one field, or by ranges of a key that hold equally many rows."""
 
 from __future__ import annotations
 
@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from tidemark.functions.text import column
 
+#: Steps of depth that are known within a part, so that a frequent key is cut well.
+FINE = 16
+
 
 @dataclass(frozen=True)
 class Parts:
@@ -44,3 +47,30 @@ def spread(frame: DataFrame, parts: Parts) -> DataFrame:
     merges parts that are too small for a file of their own.
     """
     return frame.hint("rebalance", parts.count, column(parts.field))
+
+
+@dataclass(frozen=True)
+class KeyRanges:
+    """Ranges of a whole-number key that hold about equally many rows: ``FINE`` steps of depth for each of ``count``."""
+
+    field: str
+    count: int
+    steps: tuple[int, ...]
+
+    def part_of(self, frame: DataFrame) -> Column:
+        """The part a row belongs to; rows of a key that fills several are dealt by a hash. NULLs are in part 0."""
+        key = column(self.field)
+        steps = F.lit(list(self.steps)) if self.steps else F.expr("array()").cast("array<bigint>")
+        low = F.size(F.filter(steps, lambda step: step < key))
+        same = F.size(F.filter(steps, lambda step: step == key))
+        tie = F.pmod(F.xxhash64(*[column(name) for name in frame.columns]), same + 1)
+        return F.coalesce(F.floor((low + tie) / F.lit(FINE)), F.lit(0)).cast("int")
+
+
+def equal_depth(frame: DataFrame, field: str, count: int) -> KeyRanges:
+    """``count`` ranges of a key with about equally many rows, from one pass over the key."""
+    shares = [i / (FINE * count) for i in range(1, FINE * count)]
+    if not shares:
+        return KeyRanges(field, count, ())
+    found = frame.agg(F.percentile_approx(column(field).cast("bigint"), shares, 100 * FINE * count)).first()[0]
+    return KeyRanges(field, count, tuple(found or ()))

@@ -17,12 +17,12 @@ def read_json(
     recursive: bool = True,
     sampling_ratio: float | None = None,
 ) -> DataFrame:
-    """JSON records below ``paths``.
+    """JSON records below ``paths``; a line that is no record stops the query.
 
     Without a schema Spark reads all input once more to infer it; give one, or a sampling ratio, on
-    large input.
+    large input. ``read_json_or_reject`` goes on after broken lines.
     """
-    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower()).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     elif sampling_ratio is not None:
