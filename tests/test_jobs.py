@@ -1,12 +1,16 @@
 """Jobs over several tables."""
 
+import threading
+import time
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.targets import Target, TooManyRejects
+from tidemark.operators.targets import Loaded, Target, TooManyRejects
 from tidemark.plans import jobs
+from tidemark.plans.ledger import Ledger
 from tidemark.sources.catalog import CatalogSource
 from tidemark.workspace import new_database, shared_folder
 
@@ -174,3 +178,126 @@ def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Settings("yarn"))
     assert "tidemark-" in shared_folder(Settings("local[2]"))
+
+
+# -- several tables at a time ----------------------------------------------------------------------------
+
+
+class Waiting:
+    """A load that takes a while, and says what becomes of it."""
+
+    def __init__(self, log, name):
+        self.log, self.name = log, name
+
+    def publish(self):
+        self.log.append(("published", self.name))
+        return Loaded(1, 0, None)
+
+    def discard(self):
+        self.log.append(("discarded", self.name))
+
+
+def test_tables_are_loaded_side_by_side_and_published_in_order(spark):
+    log, names = [], [f"t{i}" for i in range(10)]
+
+    def prepare(i):
+        time.sleep(0.5 if i % 3 else 0.3)
+        return Waiting(log, names[i])
+
+    started = time.monotonic()
+    report, error = jobs._side_by_side(spark, names, prepare, 4)
+    assert time.monotonic() - started <= 0.5 * (4 * 0.3 + 6 * 0.5)
+    assert error is None and [r[0] for r in report] == names
+    assert log == [("published", name) for name in names]
+
+
+def test_the_first_error_in_the_list_stops_the_rest(spark):
+    log, names, running = [], ["a", "b", "c", "d", "e", "f"], threading.Event()
+
+    def prepare(i):
+        if names[i] == "b":
+            running.wait(20)
+            raise ValueError("b is broken")
+        if names[i] == "c":
+            running.set()  # a long Spark job, which is interrupted
+            spark.range(4).repartition(4).select(F.expr("java_method('java.lang.Thread', 'sleep', 60000L)")).write.format("noop").mode("overwrite").save()
+        return Waiting(log, names[i])
+
+    started = time.monotonic()
+    report, error = jobs._side_by_side(spark, names, prepare, 4)
+    assert time.monotonic() - started < 30
+    assert str(error) == "b is broken"
+    assert [(r[0], r[1]) for r in report] == [("a", "ok"), ("b", "failed")] + [(n, "not published") for n in "cdef"]
+    assert [name for what, name in log if what == "published"] == ["a"]
+
+
+def test_a_table_that_is_listed_twice_is_loaded_in_turn(spark, tables, database):
+    jobs.recreate_tables(tables, database, "orders;parts;ORDERS:id")
+    assert types_of(Target(spark, database, "orders")) == [("id", "bigint")]
+    jobs.recreate_tables(tables, database, "orders:id,g")
+    report = jobs.update_tables(tables, database, "orders:id,g;orders:id:50;orders:id:90")
+    assert [r.n_rows for r in report.collect()] == [100, 50, 10]
+    orders = Target(spark, database, "orders").read()
+    assert orders.count() == 100 and orders.where("g IS NULL").count() == 50
+
+
+def test_stopped_updates_leave_nothing(spark, tables, database):
+    jobs.recreate_tables(tables, database, "orders;parts")
+    Target(spark, database, "orders").recreate([("id", T.ShortType()), ("note", T.IntegerType())])
+    before = Target(spark, database, "parts")._segment_tables()
+    report = jobs.update_tables(tables, database, "orders:id,note;parts", raise_on_failure=False)
+    assert [(r.table_name, r.status) for r in report.collect()] == [("orders", "failed"), ("parts", "not published")]
+    assert Target(spark, database, "parts")._segment_tables() == before
+
+
+# -- ledger ----------------------------------------------------------------------------------------------
+
+
+def test_a_restarted_run_takes_what_did_not_end_well(spark, tables, database):
+    for _ in range(2):
+        with pytest.raises(jobs.CopyFailed):
+            jobs.copy_tables(tables, database, "orders:20,missing,parts", run="one")
+    rows = Ledger(spark, database).rows("one").collect()
+    assert sorted((r.table_name, r.status) for r in rows) == [("missing", "failed"), ("missing", "failed"), ("orders", "ok"), ("parts", "ok")]
+    assert all(r.at is not None for r in rows)
+    spark.range(3).write.saveAsTable(tables.identifier("missing"))
+    report = {r.table_name: r for r in jobs.copy_tables(tables, database, "orders:20,missing,parts", run="one").collect()}
+    assert (report["orders"].n_rows, report["parts"].as_text, report["missing"].n_rows) == (79, ["list"], 3)
+    assert {r.table_name: r.status for r in Ledger(spark, database).last("one").collect()} == dict.fromkeys(["orders", "parts", "missing"], "ok")
+    # another run copies all of them
+    jobs.copy_tables(tables, database, "orders,parts", run="two")
+    assert Ledger(spark, database).rows("two").count() == 2 and Ledger(spark, database).rows().count() == 7
+
+
+def test_rows_are_there_when_a_table_has_ended(spark, tables, database, monkeypatch):
+    """A run that is lost as a whole has the rows of the tables that had ended."""
+    copy = jobs.copy_table
+
+    def lost(source, database, name, *args, **options):
+        if name == "parts":
+            raise KeyboardInterrupt
+        return copy(source, database, name, *args, **options)
+
+    monkeypatch.setattr(jobs, "copy_table", lost)
+    with pytest.raises(KeyboardInterrupt):
+        jobs.copy_tables(tables, database, "orders,parts", run="one", max_concurrent=1)
+    assert [(r.table_name, r.status) for r in Ledger(spark, database).rows("one").collect()] == [("orders", "ok")]
+
+
+def test_another_table_is_no_ledger(spark, tables, database):
+    spark.range(1).write.saveAsTable(f"`{database}`.`tidemark_runs`")
+    with pytest.raises(ValueError, match="is not a ledger"):
+        jobs.copy_tables(tables, database, "orders", run="one")
+
+
+def test_new_source_columns_are_copied(spark, tables, database):
+    name = tables.identifier("grows")
+    spark.range(10).select(F.col("id").cast("int"), F.lit("abc").alias("note")).write.saveAsTable(name)
+    jobs.copy_tables(tables, database, "grows")
+    base = Target(spark, database, "grows").state().segments[0]
+    spark.range(20).select("id", F.lit("abc").alias("note"), F.lit(1.5).alias("price")).write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
+    report = jobs.copy_tables(tables, database, "grows", resume=True).first()
+    target = Target(spark, database, "grows")
+    assert (report.n_rows, types_of(target)) == (10, [("id", "bigint"), ("note", "varchar(255)"), ("price", "double")])
+    assert target.state().segments[0].table == base.table
+    assert target.read().where("price IS NULL").count() == 10 and target.read().count() == 20

@@ -95,3 +95,35 @@ def test_repeated_names_are_reduced_before_the_shuffle(spark, sf_dir):
     assert "partial_max_by" in plan(last)
     configs = lists.select(F.col("spec").alias("table_name"), "spec", F.lit("a").alias("hashfield"), F.lit("2").alias("hashpartitions"), F.lit(0).alias("pos"))
     assert "partial_min_by" in plan(specs.with_partition_config(lists.withColumnRenamed("spec", "name"), configs))
+
+
+def test_filters_reach_segments_of_other_schemas(spark, database):
+    """Old segments are cast and filled by the view, and still skip data: by their own type, or as a whole."""
+    target = Target(spark, database, "t")
+    target.replace_table(spark.range(100).select(F.col("id").cast("int"), F.lit("a").alias("tag")), "id")
+    wide = spark.range(100, 200).select("id", F.lit("b").alias("tag"), F.col("id").alias("more"))
+    target.append(wide, evolve=[("id", T.LongType()), ("more", T.LongType())])
+    text = plan(target.read().where("id > 42 AND tag = 'a'"))
+    assert text.count("GreaterThan(id,42)") == 2 and text.count("EqualTo(tag,a)") == 2
+    text = plan(target.read().where("more = 150"))
+    assert text.count("PushedFilters") == 1 and "EqualTo(more,150)" in text
+
+
+def test_rejects_are_no_part_of_a_scan(spark, database):
+    target = Target(spark, database, "t")
+    target.recreate([("id", T.IntegerType()), ("v", T.IntegerType())])
+    target.replace_rows(spark.sql("SELECT id, if(id = 3, 'x', string(id)) AS v FROM range(10)"), "id", max_errors=5)
+    text = plan(target.read().select("id").where("v > 4"))
+    assert "PartitionFilters: [isnotnull(_rejected" in text and "_record" not in text and "GreaterThan(v,4)" in text
+
+
+def test_a_salted_join_shuffles_the_small_side_only(spark, database):
+    target = Target(spark, database, "t")
+    data = spark.range(20_000).select("id", F.when(F.col("id") % 10 > 0, 7).otherwise(F.col("id")).cast("bigint").alias("k"))
+    target.replace_table(data, "id", Layout(dist_key="k", buckets=8, spread_hot=True))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(target.join(spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("name"))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"\n\(\d+\) Exchange", text)) == 1

@@ -1,13 +1,15 @@
 """Every registered query against its SQL, as a multiset of rows."""
 
 import math
+import subprocess
+import sys
 from collections import Counter
 from datetime import date, datetime
 from decimal import Decimal
 
 import duckdb
 import pytest
-from conftest import SF_DIR
+from conftest import ROOT, SF_DIR
 
 import __spark_entry__ as contract
 
@@ -65,3 +67,13 @@ def test_entry(spark):
     frame = contract.entry(spark)
     assert frame.columns == ["o_orderkey", "o_totalprice"]
     assert frame.count() == 1000
+
+
+@pytest.mark.parametrize("module", ["xxhash", "public_tokenizers", "regex", "corpus_pipeline"])
+def test_core_queries_need_no_text_operators(module):
+    """Whatever the text operators lack, all other queries are there."""
+    code = f"import sys; sys.modules[{module!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    run = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, check=True)
+    core = [name for name, sql in contract._ORACLES.items() if sql]
+    assert run.stdout.split() == [str(len(contract._QUERIES)), str(len(core))]
+    assert "text operators cannot be loaded" in run.stderr or module == "corpus_pipeline"

@@ -1,5 +1,8 @@
 """Published targets: equal results by different ways, failures, bounds, layout, cleaning up."""
 
+import json
+import random
+
 import pytest
 from pyspark import TaskContext
 from pyspark.errors import PySparkException
@@ -7,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import segments as parts_of
-from tidemark.operators import targets
-from tidemark.operators.layout import Layout, bucket_count, estimated_bytes, spread_by_key
+from tidemark.operators import sketches, skew, targets
+from tidemark.operators.layout import Layout, bucket_count, by_ranges, estimated_bytes, spread_by_key
 from tidemark.operators.partitions import Parts
 from tidemark.operators.segments import Segment, State
 from tidemark.operators.targets import OWNER, Target, TooManyRejects, bookmarks, published
@@ -432,3 +435,284 @@ def test_cut_values_are_counted_and_nested_ones_rejected(spark, target):
     loaded = target.replace_table(frame, "id", string_width=300, other_width=9, max_errors=3)
     assert (loaded.n_rows, loaded.n_rejects, loaded.n_cut) == (5, 1, 0)
     assert target.replace_table(frame, "id", string_width=1000).n_cut == 0
+
+
+# -- rejects ---------------------------------------------------------------------------------------------
+
+WANTED = [("id", T.LongType()), ("size", T.IntegerType()), ("day", T.DateType())]
+
+
+def dirty(spark, low=0, high=100):
+    """One size in ten is no number, one day in seven no date."""
+    size = F.when(F.col("id") % 10 == 3, "much").otherwise(F.col("id").cast("string"))
+    day = F.when(F.col("id") % 7 == 1, "someday").otherwise("2024-02-29")
+    return spark.range(low, high).select("id", size.alias("size"), day.alias("day"))
+
+
+def misfits(low=0, high=100):
+    return sum(i % 10 == 3 for i in range(low, high)), sum(i % 7 == 1 for i in range(low, high))
+
+
+def test_rejects_have_reasons(spark, target):
+    target.recreate(WANTED)
+    loaded = target.replace_rows(dirty(spark), "id", max_errors=1000)
+    sizes, days = misfits()
+    assert loaded.by_column == (("day", days), ("size", sizes))
+    reasons = {r.record: [tuple(x) for x in r.reasons] for r in target.rejects().collect()}
+    assert loaded.n_rejects == len(reasons)
+    assert reasons['{"id":43,"size":"much","day":"someday"}'] == [("size", "much", "int"), ("day", "someday", "date")]
+    assert reasons['{"id":3,"size":"much","day":"2024-02-29"}'] == [("size", "much", "int")]
+    assert target.read().count() == 100 - loaded.n_rejects
+
+
+def test_rejects_go_with_their_version(spark, target, monkeypatch):
+    target.recreate(WANTED)
+    target.replace_rows(dirty(spark), "id", max_errors=1000)
+    first = target.rejects().count()
+    target.append(dirty(spark, 100, 150), max_errors=1000)
+    both = target.rejects().count()
+    assert both > first and len({r.segment for r in target.rejects().collect()}) == 2
+    # a publication that fails leaves none
+    with monkeypatch.context() as broken:
+        broken.setattr(Target, "_publish", lambda self, state: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            target.append(dirty(spark, 200, 300), max_errors=1000)
+    assert target.rejects().count() == both
+    # merging keeps them, a full replacement does not
+    merging = Target(spark, target.database, target.table, max_segments=2)
+    merging.append(numbered(spark, 500, 503).select("id"))
+    assert target.rejects().count() == both and len(target.state().segments) == 2
+    assert target.read().count() == 150 - both + 3
+    target.replace_rows(numbered(spark, 0, 3).select("id"))
+    assert target.rejects().count() == 0 and target.read().count() == 3
+
+
+def test_refused_loads_show_what_they_would_leave_out(spark, target):
+    target.recreate(WANTED)
+    for high in (50, 100):
+        with pytest.raises(TooManyRejects) as refused:
+            target.replace_rows(dirty(spark, 0, high), "id", max_errors=2)
+        sizes, days = misfits(0, high)
+        assert refused.value.by_column == {"size": sizes, "day": days}
+    assert target.refused().count() == 24 and target.rejects().count() == 0 and rows(target) == []
+    with pytest.raises(TooManyRejects, match=r"limit 1 \(size: 10, day: 15\)"):
+        target.replace_rows(dirty(spark), "id")
+    tables = segments(target)
+    target.replace_rows(numbered(spark, 0, 3).select("id"))
+    assert target.refused().count() == 0 and len(set(segments(target)) & set(tables)) == 1
+
+
+def test_a_foreign_table_gets_no_rejects(spark, target):
+    other = target._qualified(f"{target.table}__rejects")
+    spark.sql(f"CREATE TABLE {other} (segment string, record string) USING parquet")
+    target.recreate(WANTED)
+    target.replace_rows(dirty(spark), "id", max_errors=1000)
+    assert spark.table(other).count() == 0 and target.rejects().count() == 24
+    target.drop()
+    assert spark.catalog.tableExists(other)
+
+
+def test_rejects_of_a_distributed_table(spark, target):
+    target.recreate(WANTED, Layout(("day",), "id", 3))
+    loaded = target.replace_rows(dirty(spark), "id", max_errors=1000)
+    assert target.read().count() == loaded.n_rows == 76 and target.rejects().count() == 24
+    target.replace_tail(dirty(spark, 50, 120), "id", 49, max_errors=1000)
+    assert target.read().agg(F.max("id")).first()[0] == 119
+
+
+def test_reserved_names_are_refused(spark, target):
+    with pytest.raises(ValueError, match="reserved names: _record"):
+        target.replace_table(spark.range(3).withColumn("_record", F.lit("x")))
+
+
+# -- schemas by segment ----------------------------------------------------------------------------------
+
+
+def test_new_and_wider_columns(spark, target):
+    old = [("id", T.IntegerType()), ("tag", T.VarcharType(3)), ("x", T.FloatType()), ("d", T.DecimalType(5, 2)), ("on", T.DateType())]
+    target.replace_table(spark.sql("SELECT 1 id, 'abcdef' tag, 0.5 x, 1.25 d, DATE'2024-01-02' on"), "id", columns=old)
+    base = target.state().segments[0].table
+    new = [("ID", T.LongType()), ("tag", T.VarcharType(9)), ("x", T.DoubleType()), ("d", T.DecimalType(9, 3)), ("on", T.TimestampNTZType()), ("more", T.VarcharType(5))]
+    frame = spark.sql("SELECT 5000000000L id, 'abcdef' tag, 0.1D x, 123456.125 d, TIMESTAMP_NTZ'2024-01-02 03:04:05' on, 'mm' more")
+    target.append(frame, evolve=new)
+    assert [(n, t.simpleString()) for n, t in target.columns()] == [
+        ("id", "bigint"), ("tag", "varchar(9)"), ("x", "double"), ("d", "decimal(9,3)"), ("on", "timestamp_ntz"), ("more", "varchar(5)"),
+    ]
+    found = {r.id: r for r in target.read().collect()}
+    assert (found[1].tag, found[1].x, str(found[1].d), found[1].more) == ("abc", 0.5, "1.250", None)
+    assert (found[5000000000].tag, found[5000000000].more, found[1].on.hour) == ("abcdef", "mm", 0)
+    assert target.state().segments[0].table == base
+    target.replace_tail(frame.limit(0), "id", 1)
+    assert [r.id for r in target.read().collect()] == [1]
+
+
+def test_columns_never_become_narrower(spark, target):
+    target.replace_table(numbered(spark, 0, 5), "id")
+    for columns, wrong in (([("id", T.IntegerType())], "id from bigint to int"), ([("tag", T.VarcharType(9))], "tag from"), ([("id", T.DoubleType())], "id from")):
+        with pytest.raises(ValueError, match=wrong):
+            target.widen(columns)
+    # a load takes what is wider, and leaves the rest as it is
+    target.append(numbered(spark, 5, 6, "x" * 300), evolve=[("id", T.IntegerType()), ("tag", T.VarcharType(400))])
+    assert dict((n, t.simpleString()) for n, t in target.columns()) == {"id": "bigint", "tag": "varchar(400)"}
+    assert {len(r.tag) for r in target.read().collect()} == {1, 300}
+    with pytest.raises(ValueError, match="columns missing in the target: more"):
+        target.append(numbered(spark, 6, 7).withColumn("more", F.lit(1)))
+    target.widen([("more", T.IntegerType())])
+    assert target.read().where("more IS NULL").count() == 6
+    target.append(numbered(spark, 6, 7).withColumn("more", F.lit(1)))
+    assert len(target.state().schemas) == 3
+    target.replace_rows(numbered(spark, 0, 2))
+    assert len(target.state().schemas) == 1 and target.read().columns == ["id", "tag", "more"]
+
+
+def test_merging_conforms_old_segments(spark, database):
+    target = Target(spark, database, "numbers", max_segments=3)
+    target.replace_table(spark.range(10).select(F.col("id").cast("int")), "id")
+    for i in range(1, 5):
+        target.append(spark.range(10 * i, 10 * i + 10).withColumn(f"c{i}", F.lit(i)), evolve=[("id", T.LongType()), (f"c{i}", T.IntegerType())])
+    assert target.read().columns == ["id", "c1", "c2", "c3", "c4"]
+    assert target.read().where("c2 = 2 AND c1 IS NULL").count() == 10
+    assert sorted(r.id for r in target.read().select("id").collect()) == list(range(50))
+
+
+def test_states_of_earlier_versions(spark, target):
+    target.replace_table(numbered(spark, 0, 5), "id")
+    old = {"segments": [{"table": target.state().segments[0].table, "low": 0, "keep": None, "rows": 5}], "key": "id", "high": 4}
+    old["layout"] = {"sort_key": [], "dist_key": None, "buckets": None}
+    spark.sql(f"ALTER VIEW {target.name} SET TBLPROPERTIES ('{targets.STATE}' = '{json.dumps(old)}')")
+    target.replace_tail(numbered(spark, 3, 8, "b"), "id", 2)
+    assert rows(target) == [(0, "a"), (1, "a"), (2, "a"), (3, "b"), (4, "b"), (5, "b"), (6, "b"), (7, "b")]
+
+
+# -- what is live ----------------------------------------------------------------------------------------
+
+
+def test_a_mostly_dead_segment_is_written_anew(spark, target):
+    target.replace_table(numbered(spark, 0, 1000), "id")
+    base = target.state().segments[0].table
+    target.replace_tail(numbered(spark, 50, 60, "b"), "id", 49)
+    first = target.live_rows().where(F.col("segment") == base).first()
+    assert (first.n_written, first.is_cut) == (1000, True) and abs(first.n_live - 50) <= 20
+    for step in range(2):
+        target.append(numbered(spark, 100 + step, 101 + step, "c"))
+    assert base not in {s.table for s in target.state().segments}
+    assert rows(target) == sorted([(i, "a") for i in range(50)] + [(i, "b") for i in range(50, 60)] + [(100, "c"), (101, "c")], key=repr)
+    # one that is half live stays
+    target.replace_table(numbered(spark, 0, 1000), "id")
+    base = target.state().segments[0].table
+    for step in range(3):
+        target.replace_tail(numbered(spark, 500, 600), "id", 499)
+    assert target.state().segments[0].table == base
+
+
+@pytest.mark.parametrize("op", ["<=", "<"])
+def test_shares_follow_the_keys(op):
+    draw = random.Random(3)
+    keys = sorted([draw.randrange(1000) ** 2 for _ in range(5000)] + [77_777] * 2500)
+    depths = tuple(keys[round(i * (len(keys) - 1) / 50)] for i in range(51))
+    for bound in [*draw.sample(keys, 50), -1, 10**9, 77_776, 77_777, 77_778]:
+        kept = sum(k <= bound if op == "<=" else k < bound for k in keys) / len(keys)
+        assert abs(sketches.share_kept(depths, op, bound) - kept) <= 0.021
+
+
+def test_statistics_of_cut_segments(spark, target):
+    data = spark.range(3000).select("id", (F.col("id") % 7).alias("g"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("n"))
+    target.replace_table(data, "id", analyze=["id", "g", "n"])
+    whole = {r.column: r for r in target.merged_statistics().collect()}
+    assert {(r.n_rows, r.exact) for r in whole.values()} == {(3000, True)}
+    assert (whole["id"].low, whole["id"].high, whole["g"].n_distinct, whole["n"].n_nulls) == ("0", "2999", 7, 1500)
+    target.replace_tail(data.where("id >= 2500"), "id", 1999, analyze=["id", "g", "n"])
+    cut = {r.column: r for r in target.merged_statistics().collect()}
+    assert not cut["id"].exact and abs(cut["id"].n_rows - 2500) <= 60 and cut["id"].high == "2999"
+    target.replace_tail(data.limit(0), "id", 999)
+    left = target.merged_statistics().where("column = 'id'").first()
+    assert (left.low, left.high) == ("0", "999") and abs(left.n_rows - 1000) <= 30
+    target.append(numbered(spark, 5000, 5001).select("id"))  # knows nothing of g and n
+    assert {r.column for r in target.merged_statistics().collect()} == {"id"}
+    target.replace_rows(data.limit(0))
+    assert target.merged_statistics().collect() == []
+
+
+def test_a_load_reads_no_segment(spark, target):
+    """Statistics come from the writing pass: nothing reads what was written."""
+    seen = []
+    run = spark.sql
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(spark, name)
+
+        def sql(self, text):
+            seen.append(text)
+            return run(text)
+
+    watched = Target(Watched(), target.database, target.table)
+    watched.replace_table(numbered(spark, 0, 100), "id", Layout(("id",)))
+    assert not [text for text in seen if text.startswith("ANALYZE")]
+    assert [tuple(r)[1:] for r in target.statistics("id").collect()] == [(100, "0", "99", 0)]
+
+
+# -- hot keys and ranges ---------------------------------------------------------------------------------
+
+
+def skewed(spark, n=20_000):
+    """Nine in ten rows have key 7, some have none."""
+    key = F.when(F.col("id") % 10 != 0, 7).when(F.col("id") % 100 != 0, F.col("id") % 991)
+    return spark.range(n).select("id", key.cast("bigint").alias("k"))
+
+
+def test_hot_keys_are_dealt_to_several_buckets(spark, target):
+    data = skewed(spark)
+    target.replace_table(data, "id", Layout(dist_key="k", buckets=8, spread_hot=True))
+    assert dict(target.state().layout.hot)["7"] > 8
+    stored, _ = target.read_salted()
+    tasks = sorted(r["count"] for r in stored.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert len(tasks) == 8 and tasks[-1] <= 2 * tasks[4]
+    assert rows(target) == sorted(map(tuple, data.collect()), key=repr)
+    # a key that becomes hot later, and loads before and after it
+    later = spark.range(20_000, 60_000).select("id", F.lit(5).cast("bigint").alias("k"))
+    for part in (later, later.withColumn("id", F.col("id") + 100_000)):
+        target.append(part)
+    assert {"5", "7"} <= dict(target.state().layout.hot).keys()
+    users = spark.range(991).select(F.col("id").alias("k"), F.concat(F.lit("u"), "id").alias("name"))
+    whole = target.read()
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        found, plain = target.join(users, how=how), whole.join(users, "k", how)
+        assert sorted(found.columns) == sorted(plain.columns)
+        assert found.select(plain.columns).exceptAll(plain).isEmpty() and found.count() == plain.count()
+
+
+def test_skewed_join_is_a_join(spark):
+    left = skewed(spark)
+    right = spark.range(5, 300).select(F.col("id").alias("k"), "id").withColumnRenamed("id", "v")
+    right = right.unionByName(right.where("k = 7"))
+    assert dict(skew.hot_keys(left, "k", 8))["7"] >= 8
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        found, plain = skew.skewed_join(left, right, "k", 8, how), left.join(right, "k", how)
+        assert found.select(plain.columns).exceptAll(plain).isEmpty() and found.count() == plain.count()
+    with pytest.raises(ValueError, match="how is"):
+        skew.skewed_join(left, right, "k", 8, "full")
+    salted = skew.with_salt(left, "k", dict(skew.hot_keys(left, "k", 8)), 8)
+    largest = salted.groupBy("k", skew.SALT).count().agg(F.max("count")).first()[0]
+    assert largest < 18_000 / 50
+
+
+def test_a_cut_of_a_ranged_target_opens_few_files(spark, target):
+    data = numbered(spark, 0, 40_000).orderBy(F.rand(2)).withColumn("pad", F.md5(F.col("id").cast("string")))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        target.replace_table(data, "id", Layout(("id",), ranged=True, buckets=None))
+        bounds = target.read().select("id", F.input_file_name().alias("f")).groupBy("f").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        files = sorted((r.low, r.high) for r in bounds.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert all(a[1] < b[0] for a, b in zip(files, files[1:]))
+    target.replace_tail(data.limit(0), "id", 99)
+    assert sum(low <= 99 for low, _ in files) == 1
+    assert target.read().count() == 100
+
+
+def test_ranges_split_a_frequent_key(spark):
+    data = spark.range(10_000).select("id", F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("k"))
+    sizes = [r["count"] for r in by_ranges(data, ("k",), 8).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 1.5 * 10_000 / 8

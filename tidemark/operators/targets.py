@@ -588,9 +588,9 @@ class Target:
         before = self.state()
         state = state.compacted()
         body = " UNION ALL ".join(self._kept_sql(state, segment) for segment in state.segments)
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {self.name} TBLPROPERTIES ({sql_string(STATE)} = {sql_string(state.dump())}) AS {body}"
-        )
+        # the view has the types of its query: casts to its own would keep filters on text from the scan
+        properties = f"{sql_string(STATE)} = {sql_string(state.dump())}"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name} WITH SCHEMA TYPE EVOLUTION TBLPROPERTIES ({properties}) AS {body}")
         states = [state] + ([before] if before else [])
         used = {name.lower() for s in states for name in (*(segment.table for segment in s.segments), *s.files)}
         for name in self._like_segments():

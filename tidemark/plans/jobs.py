@@ -11,7 +11,7 @@ import logging
 import threading
 import uuid
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import CancelledError, Future, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
@@ -130,12 +130,14 @@ def _side_by_side(
             done[earlier[i]].wait()
         if stopped.is_set():
             return None
-        tag = f"tidemark-{run}-{i}"
-        spark.addTag(tag)
+        tag, context = f"tidemark-{run}-{i}", spark.sparkContext
+        context.addJobTag(tag)
+        context.setInterruptOnCancel(True)
         try:
             return prepare(i)
         finally:
-            spark.removeTag(tag)
+            context.removeJobTag(tag)
+            context.setInterruptOnCancel(False)
 
     report, error = [], None
     with ThreadPoolExecutor(max(1, min(at_a_time, len(names)))) as pool:
@@ -147,13 +149,14 @@ def _side_by_side(
                     report.append(_ok(name, _published(pending)))
                 elif pending is not None:
                     pending.discard()
+            except CancelledError:
+                pass  # not begun when an earlier load failed
             except Exception as failure:
                 if error is None:
                     error = failure
                     report.append(_not_ok(name, "failed", str(failure)))
                     stopped.set()
-                    for later in range(i + 1, len(names)):
-                        spark.interruptTag(f"tidemark-{run}-{later}")
+                    _interrupt(spark, {f"tidemark-{run}-{j}": started[j] for j in range(i + 1, len(names))})
                     done[i].set()
                     continue
             if error is not None:
@@ -162,6 +165,14 @@ def _side_by_side(
     return report, error
 
 
+def _interrupt(spark: SparkSession, loads: dict[str, Future]) -> None:
+    """Cancel the Spark jobs of some loads, by their tags, until all have ended; they may be between two jobs."""
+    while left := [tag for tag, load in loads.items() if not load.done() and not load.cancel()]:
+        for tag in left:
+            spark.sparkContext.cancelJobsWithTag(tag)
+        wait([loads[tag] for tag in left], timeout=0.2)
+
+
 def _published(pending: Pending) -> Loaded:
     try:
         return pending.publish()
