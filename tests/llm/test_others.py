@@ -1,12 +1,15 @@
 """Packing, toxicity, Order MinHash, chat formatting and sharding against brute force."""
 
 import hashlib
+import math
 import random
+import struct
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import chat_format, order_minhash, packing, queries, sharding, toxicity
@@ -358,7 +361,8 @@ def test_parts_become_placeholders(spark):
     assert [text[s["start"] : s["end"]] for s in first["loss"]] == ["see <\\|this", "and"]
     assert first["n_tokens"] == len("see <|this") + 3 + 6 + 50 + 3072 + 1
     assert found[1]["formatted"] == "<|im_start|>user\n<|im_end|>\n"
-    assert chat_format.read_back(chat_format.formatted(frame)).count() == 2
+    read = {r["conv_id"]: (r["n_turns"], r["n_attachments"], r["n_tokens"]) for r in chat_format.read_back(chat_format.formatted(frame)).collect()}
+    assert read == {1: (2, 4, first["n_tokens"]), None: (1, 0, 0)}
 
 
 # -- sharding ------------------------------------------------------------------------------------------
@@ -379,6 +383,34 @@ def test_shards(spark, small, odd):
         assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def shard_by_hand(tree, key):
+    """Down the tree from part to part, each time to the least of the exponential draws."""
+    while tree.parts:
+
+        def draw(part):
+            bits = xxhash.xxh64_intdigest(struct.pack("<q", key), xxhash.xxh64_intdigest(part.name.encode(), 42)) >> 11
+            return -math.log((bits + 0.5) / 2.0**53) / part.weight
+
+        tree = min(tree.parts, key=draw)
+    return tree.shard
+
+
+def test_shards_and_slots_by_hand(spark, small):
+    tree = sharding.built(4, 2, 5)
+    later = sharding.grown(tree, 1, 0, 40)
+    found = {r["doc_id"]: r for r in sharding.sharded(small, tree, later).collect()}
+    keys = {}
+    for doc_id in found:
+        digest = xxhash.xxh64_intdigest(struct.pack("<q", doc_id), 42)
+        keys[doc_id] = digest - (1 << 64) if digest >> 63 else digest
+    shards = {i: shard_by_hand(tree, k) for i, k in keys.items()}
+    assert {i: r["shard"] for i, r in found.items()} == shards
+    assert {i: r["grown_shard"] for i, r in found.items()} == {i: shard_by_hand(later, k) for i, k in keys.items()}
+    for shard in set(shards.values()):
+        members = sorted((i for i in shards if shards[i] == shard), key=keys.get)
+        assert [found[i]["slot"] for i in members] == list(range(len(members)))
+
+
 def test_slots_have_no_gaps_over_ranges(spark, monkeypatch):
     monkeypatch.setattr(sharding, "SLOT_ROWS", 10)
     docs = spark.range(5000).selectExpr("id AS doc_id", "cast(id AS string) AS text")

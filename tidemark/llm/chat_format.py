@@ -151,15 +151,17 @@ def read_turns(text: str) -> list[tuple[str, str]]:
     return found
 
 
-_DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+_DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()), ("n_attachments", pa.int64()), ("n_tokens", pa.int64())])
 
 
 class Digest:
     def __init__(self, conv_id):
         self.conv_id, self.turns, self.loss = conv_id, hashlib.sha256(), hashlib.sha256()
-        self.n_turns = self.loss_chars = self.chars = 0
+        self.n_turns = self.loss_chars = self.chars = self.n_attachments = self.n_tokens = 0
 
-    def add(self, text: str, spans: list[dict]) -> None:
+    def add(self, text: str, spans: list[dict], n_attachments: int, n_tokens: int) -> None:
+        self.n_attachments += n_attachments
+        self.n_tokens += n_tokens
         for role, body in read_turns(text):
             self.turns.update(f"{role}\n{body}\n".encode())
             self.n_turns += 1
@@ -170,7 +172,7 @@ class Digest:
         self.chars += len(text)
 
     def row(self) -> dict:
-        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars}
+        return {"conv_id": self.conv_id, "n_turns": self.n_turns, "turns_sha256": self.turns.hexdigest(), "loss_chars": self.loss_chars, "loss_sha256": self.loss.hexdigest(), "formatted_chars": self.chars, "n_attachments": self.n_attachments, "n_tokens": self.n_tokens}
 
 
 def read_back(turns: DataFrame) -> DataFrame:
@@ -184,15 +186,16 @@ def read_back(turns: DataFrame) -> DataFrame:
         now = None
         for batch in batches:
             done = []
-            for conv_id, _, text, spans in zip(*(c.to_pylist() for c in batch.columns)):
+            for conv_id, _, *turn in zip(*(c.to_pylist() for c in batch.columns)):
                 if now is None or conv_id != now.conv_id:
                     done.extend([now.row()] if now else [])
                     now = Digest(conv_id)
-                now.add(text, spans)
+                now.add(*turn)
             yield pa.RecordBatch.from_pylist(done, _DIGESTS)
         if now is not None:
             yield pa.RecordBatch.from_pylist([now.row()], _DIGESTS)
 
-    rows = turns.select("conv_id", "turn", "formatted", "loss").repartition("conv_id")
+    rows = turns.select("conv_id", "turn", "formatted", "loss", F.size("attachments").cast("long"), "n_tokens").repartition("conv_id")
     rows = rows.sortWithinPartitions("conv_id", "turn", "formatted")
-    return rows.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    counts = "loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, n_tokens long"
+    return rows.mapInArrow(run, f"conv_id long, n_turns long, turns_sha256 string, {counts}")
