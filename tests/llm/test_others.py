@@ -177,6 +177,28 @@ def test_toxicity_of_odd_tables(spark, odd):
     assert left.columns == odd.columns
 
 
+@pytest.mark.parametrize("rows, size", [(4096, 64 << 20), (20, 5000)])
+def test_sequences_hold_what_is_packed(small, odd, rows, size, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", rows)
+    monkeypatch.setattr(packing, "GROUP_BYTES", size)
+    for docs in (small, odd, odd.limit(0)):
+        found = packing.byte_sequences(docs, 3000).collect()
+        parts = defaultdict(list)
+        for r in found:
+            assert len(r["ids"]) == r["size"] <= 3000 and r["doc_ids"] == [p["doc_id"] for p in r["pieces"]]
+            assert [p["at"] for p in r["pieces"]] == [sum(p["size"] for p in r["pieces"][:i]) for i in range(len(r["pieces"]))]
+            for p in r["pieces"]:
+                parts[p["doc_id"]].append((p["start"], r["ids"][p["at"] : p["at"] + p["size"]]))
+        texts = defaultdict(list)
+        for r in docs.collect():
+            texts[r["doc_id"]].append((r["text"] or "").encode())
+        for doc_id, members in texts.items():
+            if len(members) == 1:
+                assert b"".join(part for _, part in sorted(parts[doc_id])) == members[0]
+            assert sum(len(part) for _, part in parts[doc_id]) == sum(map(len, members))
+        assert parts.keys() == texts.keys()
+
+
 def test_equal_rows_spread_over_groups(spark):
     same = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same words").alias("text"), F.lit("s").alias("source"))
     found = packing.packed_texts(same).groupBy("group").count().collect()

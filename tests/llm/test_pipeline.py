@@ -1,6 +1,12 @@
 """The pipeline stage by stage, and the registered queries."""
 
+import base64
+from collections import defaultdict
+
 import corpus_pipeline
+import numpy as np
+import public_tokenizers
+import tiktoken
 from llm.test_duplicates import components_by_hand, exact_by_hand, fingerprint_by_hand, passages_by_hand, rows_of
 from pyspark.sql import functions as F
 
@@ -29,15 +35,22 @@ def test_stages_do_what_their_operators_do(spark, small):
     expected = {i: kept.decode("utf-8", "ignore") for i, _, _, kept in passages_by_hand(rows_of(single))}
     assert {i: t.decode() for i, t in rows_of(cut)} == expected
 
-    sizes = dict.fromkeys(expected, 0)
+    with open(public_tokenizers.path(corpus_pipeline.RANKS), "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    tokens = defaultdict(dict)
     for r in stages["best_fit_packing"](spark, cut, folder).collect():
-        sizes[r["doc_id"]] += r["size"]
-    assert sizes == {i: len(t.encode()) for i, t in expected.items()}
+        ids = np.frombuffer(r["ids"], "<u2").tolist()
+        assert len(ids) == r["size"] <= corpus_pipeline.SEQUENCE and r["doc_ids"] == [p["doc_id"] for p in r["pieces"]]
+        for p in r["pieces"]:
+            tokens[p["doc_id"]][p["start"]] = ids[p["at"] : p["at"] + p["size"]]
+    whole = {i: [t for _, part in sorted(parts.items()) for t in part] for i, parts in tokens.items()}
+    assert whole == {i: [*library.encode_ordinary(t), corpus_pipeline.SEPARATOR] for i, t in expected.items()}
 
 
 def test_run_applies_all_stages(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
-    assert 0 < rows.select("doc_id").distinct().count() < 200
+    assert 0 < rows.selectExpr("explode(doc_ids) AS doc_id").distinct().count() < 200
 
 
 def test_stages_take_odd_documents(spark, odd):

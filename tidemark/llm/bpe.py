@@ -9,7 +9,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import few_rows
@@ -197,22 +197,40 @@ def shared_ranks(frame: DataFrame, path: str):
     return frame.sparkSession.sparkContext.broadcast(data)
 
 
-def encoded(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """One row per row of ``docs``: doc_id, ids (binary: little-endian 32-bit integers).
+def encoded(
+    docs: DataFrame, path: str, pattern: str, also: list[Column] | None = None, separator: int | None = None, width: int = 4
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, the columns ``also``, ids (binary: little-endian integers of ``width`` bytes).
 
     Each match of ``pattern`` in the whole text is encoded by the ranks in the file at ``path``, without special
-    tokens; null is empty. Other columns of ``docs`` are not read, and no row moves to another task.
+    tokens; null is empty. A separator, if there is one, follows. Ids that do not fit, and a separator that is a
+    token, are an error. Other columns of ``docs`` are not read, and no row moves to another task.
     """
     ranks = shared_ranks(docs, path)
+    check_ids(encoder(ranks.value, pattern).ranks, path, separator, width)
+    end = b"" if separator is None else separator.to_bytes(width, "little")
 
     def run(batches):
         encode = encoder(ranks.value, pattern).encode
         for batch in few_rows(batches):
-            found = encode(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["doc_id", "ids"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+            found = encode(batch.column("text").to_pylist())
+            if width != 4 or end:
+                found = [np.frombuffer(ids, "<u4").astype(f"<u{width}").tobytes() + end for ids in found]
+            columns = [batch.column("doc_id"), *batch.columns[2:], pa.array(found, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *batch.schema.names[2:], "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *(also or []))
+    others = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rows.schema.fields[2:])
+    return rows.mapInArrow(run, f"doc_id long, {others}ids binary")
+
+
+def check_ids(ranks: dict[bytes, int], path: str, separator: int | None, width: int) -> None:
+    """An error if an id, or the separator, does not fit ``width`` bytes, or if the separator is a token."""
+    ids = ranks.values()
+    if max(ids) >= 1 << 8 * width or separator is not None and not 0 <= separator < 1 << 8 * width:
+        raise ValueError(f"ids of {path}, or the separator, do not fit {width} bytes")
+    if separator in ids:
+        raise ValueError(f"the separator {separator} is a token of {path}")
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str) -> DataFrame:

@@ -24,7 +24,7 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed_texts(_table(spark, sf_dir, "documents"))
+    return packing.byte_sequences(_table(spark, sf_dir, "documents"))
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,11 +34,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, pattern: str, separato
     files in the result count. A null text has no tokens.
     """
     ranks = bpe.shared_ranks(docs, path)
-    ids = bpe.encoder(ranks.value, pattern).ranks.values()
-    if max(separator, *ids) >= 1 << 8 * width or separator < 0:
-        raise ValueError(f"ids of {path}, or the separator, do not fit {width} bytes")
-    if separator in ids:
-        raise ValueError(f"the separator {separator} is a token of {path}")
+    bpe.check_ids(bpe.encoder(ranks.value, pattern).ranks, path, separator, width)
     kind = f"<u{width}"
     end = np.array([separator], kind).tobytes()
 
