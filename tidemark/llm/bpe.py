@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import few_rows
 
 #: Bounds of the broadcast rank file, of the bytes in which a worker remembers pieces, and of such a piece.
-MAX_FILE, MAX_HELD, MAX_PIECE = 64 << 20, 64 << 20, 64
+MAX_FILE, MAX_HELD, MAX_PIECE = 64 << 20, 96 << 20, 64
 #: About what a piece takes beside its characters and ids: two objects and a place in a table.
 _PIECE_BYTES = 200
 _WORD = 8  # a bitmap word has 2 ** _WORD bits
