@@ -11,17 +11,28 @@ from tidemark.sources.jdbc import JdbcSource
 
 def test_names_are_quoted_as_the_database_does(spark):
     assert JdbcSource(spark, "jdbc:mysql://host/db")._quoted("k") == "`k`"
-    assert JdbcSource(spark, "jdbc:postgresql://host/db")._quoted("k") == '"k"'
+    assert JdbcSource(spark, "jdbc:postgresql://host/db")._quoted('k"') == '"k"""'
 
 
-def test_an_unreachable_table_does_not_exist(spark):
-    assert not JdbcSource(spark, "jdbc:none://host/db", {"driver": "no.such.Driver"}).exists("orders")
+def test_an_unreachable_database_is_no_missing_table(spark):
+    with pytest.raises(Exception, match="no.such.Driver"):
+        JdbcSource(spark, "jdbc:none://host/db", {"driver": "no.such.Driver"}).exists("orders")
+
+
+def test_a_missing_table_does_not_exist():
+    spark, asked = session(), []
+    options(spark.read)
+    spark.read.option.side_effect = lambda key, value: asked.append(value) or spark.read
+    spark.read.load.side_effect = lambda: 1 / ("FROM gone" not in asked[-1])
+    source = JdbcSource(spark, "jdbc:x")
+    assert source.exists("orders") and not source.exists("gone")
+    spark.read.load.side_effect = ConnectionError("away")
+    with pytest.raises(ConnectionError):
+        source.exists("orders")
 
 
 def session():
-    spark = MagicMock()
-    spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get.return_value.quoteIdentifier = lambda name: f'"{name}"'
-    return spark
+    return MagicMock()
 
 
 def options(reader):

@@ -12,6 +12,7 @@ NAME_COLUMNS_KEY = ["name", "columns", "sort_key"]
 TEXT_LIST_TEXT = ["str", "list", "str"]
 FOUR = ["name", "columns", "sort_key", "dist_key"]
 
+# The known cases of the format.
 CASES = [
     (
         "table1:col1,col2:key1;table2:*:key2",

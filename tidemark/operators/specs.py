@@ -21,6 +21,10 @@ IDENTIFIER = "^[a-zA-Z0-9_]+$"
 DEFAULT_FIELD = "id"
 DEFAULT_PARTS = "1"
 
+# What the errors of the format say.
+NOT_OF_TYPE = "Failed to convert value '{value}' to type int for key '{key}'"
+LENGTHS_DIFFER = "Length of types must match length of keys"
+
 _INTEGER = r"^[+-]?\d+(_\d+)*$"
 
 
@@ -55,9 +59,8 @@ def _typed(value: Column, kind: str, key: str) -> Column:
         return F.array_remove(_stripped_items(value, ","), "")
     if kind == "int":
         number = _as_integer(value)
-        message = F.concat(
-            F.lit("Failed to convert value '"), value, F.lit(f"' to type int for key '{key}'")
-        )
+        before, after = NOT_OF_TYPE.split("{value}")
+        message = F.concat(F.lit(before), value, F.lit(after.replace("{key}", key)))
         return F.when(value.isNotNull() & number.isNull(), F.raise_error(message).cast("bigint")).otherwise(number)
     raise ValueError(f"unknown type {kind!r}: use str, int or list")
 
@@ -70,7 +73,7 @@ def keyed_specs(
     Missing values are NULL, surplus ones dropped. A value that is not of its type stops the query.
     """
     if types and len(types) != len(keys):
-        raise ValueError("Length of types must match length of keys")
+        raise ValueError(LENGTHS_DIFFER)
     rows = spec_values(frame, text)
     others = [column(name) for name in frame.columns if name != text]
     fields = [

@@ -73,15 +73,15 @@ def bookmark_list(spark: SparkSession, text: str, given_only: bool = False) -> d
     names all that are. Names that the session takes for the same table are one, as first written.
     """
     entries = specs.bookmark_entries(_text_table(spark, text), "spec")
-    invalid = sorted(entries.where("NOT valid").collect(), key=lambda row: row.pos)
-    if invalid:
-        raise InvalidTables(f"invalid tables: {', '.join(repr(row.entry) for row in invalid)}")
     exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    entries = sorted(entries.withColumn("key", F.col("name") if exact else F.lower("name")).collect(), key=lambda row: row.pos)
+    invalid = [repr(row.entry) for row in entries if not row.valid]
+    if invalid:
+        raise InvalidTables(f"invalid tables: {', '.join(invalid)}")
+    spelled: dict[str, str] = {}
     found: dict[str, int | None] = {}
-    rows = specs.last_bookmarks(entries.withColumn("name", F.col("name") if exact else F.lower("name")), also=["given"])
-    spelled = {row.pos: row.name for row in entries.select("pos", "name").collect()}
-    for row in sorted(rows.collect(), key=lambda row: row.pos):
-        found[spelled[row.pos]] = row.bookmark if row.given or not given_only else None
+    for row in entries:
+        found[spelled.setdefault(row.key, row.name)] = row.bookmark if row.given or not given_only else None
     return found
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import logging
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -10,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.partitions import Parts, part_predicates
 
-log = logging.getLogger(__name__)
+# Fixed value: databases that quote names with back-quotes, by the beginning of their URL; others use double quotes.
+BACK_QUOTED = ("jdbc:mysql:", "jdbc:mariadb:", "jdbc:databricks:", "jdbc:hive2:")
 
 
 @dataclass(frozen=True)
@@ -19,7 +19,7 @@ class JdbcSource:
 
     ``hash_expression`` is the database's own integer hash with ``{field}`` in it, needed when a split
     field is not an integer, for example ``CRC32({field})``. ``ranges`` is the number of queries that read
-    a table with a whole-number key for which no parts are given.
+    a table with a whole-number key for which no parts are given. ``probe`` is a query that needs no table.
     """
 
     spark: SparkSession
@@ -27,21 +27,22 @@ class JdbcSource:
     properties: dict[str, str] = field(default_factory=dict)
     hash_expression: str = "{field}"
     ranges: int = 8
+    probe: str = "SELECT 1 AS found"
 
     def _quoted(self, name: str) -> str:
-        dialects = self.spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects
-        return dialects.get(self.url).quoteIdentifier(name)
+        mark = "`" if self.url.startswith(BACK_QUOTED) else '"'
+        return mark + name.replace(mark, mark * 2) + mark
 
     def _reader(self):
         return self.spark.read.format("jdbc").option("url", self.url).options(**self.properties)
 
     def exists(self, name: str) -> bool:
-        """Whether the table can be read. Like any probe it also says no when the database is away."""
+        """Whether the table can be read. A database that does not answer at all is an error, not a missing table."""
         try:
             self._reader().option("query", f"SELECT 1 AS found FROM {name} WHERE 1 = 0").load()
             return True
-        except Exception as error:
-            log.warning("table %s cannot be read: %s", name, error)
+        except Exception:
+            self._reader().option("query", self.probe).load()
             return False
 
     def read(
