@@ -27,6 +27,11 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit("")).cast("binary")
 
 
+def digest_of_text(column: str = "text") -> Column:
+    """The SHA-256 of the text as it came, in hex digits; null is empty."""
+    return F.sha2(whole_text(column), 256)
+
+
 def id_text(doc_id: Column) -> Column:
     """An id as text, empty for null, so that it joins and groups like any other value."""
     return F.coalesce(doc_id.cast("long").cast("string"), F.lit(""))

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import few_rows, id_text, one_row_each, whole_text
+from tidemark.llm.common import digest_of_text, few_rows, id_text, one_row_each, whole_text
 
 WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
@@ -100,18 +100,18 @@ def trie_key(text: bytes) -> bytes:
     return xxhash.xxh64_digest(text) + len(text).to_bytes(8, "big") + text
 
 
-def owner_of(n_chars: int, doc_id: int | None) -> tuple:
-    """Smallest first: most code points, then smallest id, ids before null."""
-    return (-n_chars, doc_id is None, doc_id or 0)
+def owner_of(n_chars: int, doc_id: int | None, digest: bytes) -> tuple:
+    """Smallest first: most code points, then smallest id, ids before null; the text's digest tells rows of one id apart."""
+    return (-n_chars, doc_id is None, doc_id or 0, digest)
 
 
-OWNED = pa.schema([("part", pa.binary()), ("norm", pa.binary()), ("n_chars", pa.int64()), ("doc_id", pa.int64()), ("copies", pa.int64())])
-CLASSES = pa.schema([("sha", pa.binary()), ("keep_id", pa.int64()), ("keep_chars", pa.int64()), ("group_size", pa.int64())])
+OWNED = pa.schema([("part", pa.binary()), ("norm", pa.binary()), ("n_chars", pa.int64()), ("doc_id", pa.int64()), ("digest", pa.binary()), ("copies", pa.int64())])
+CLASSES = pa.schema([("sha", pa.binary()), ("keep_id", pa.int64()), ("keep_digest", pa.binary()), ("group_size", pa.int64())])
 
 
 def _owned(rows) -> pa.RecordBatch:
-    rows = [(k[:16], k[16:], -o[0], None if o[1] else o[2], n) for k, o, n in rows]
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 5, OWNED)], schema=OWNED)
+    rows = [(k[:16], k[16:], -o[0], None if o[1] else o[2], o[3], n) for k, o, n in rows]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * 6, OWNED)], schema=OWNED)
 
 
 def _chunks(rows, most: int = 8 << 20):
@@ -127,8 +127,9 @@ def _chunks(rows, most: int = 8 << 20):
 
 
 def duplicate_classes(docs: DataFrame, trie_bytes: int = 32 << 20) -> DataFrame:
-    """(sha, keep_id, keep_chars, group_size) for each distinct normalised text of (doc_id, text).
+    """(sha, keep_id, keep_digest, group_size) for each distinct normalised text of (doc_id, text).
 
+    ``keep_digest`` is the SHA-256 of the text that stays, as it came.
     Each input task inserts its texts into a trie of at most ``trie_bytes`` of edges (one more text may exceed
     it); beyond, the largest subtree goes on to the shuffle. So a text with any number of copies is sent about
     once a task. The shuffle is by length and content hash; the receiving task merges one such pair after the
@@ -139,7 +140,7 @@ def duplicate_classes(docs: DataFrame, trie_bytes: int = 32 << 20) -> DataFrame:
         trie = PatriciaTrie()
         for batch in few_rows(batches):
             for doc_id, text, n_chars in zip(*(c.to_pylist() for c in batch.columns)):
-                trie.insert(trie_key(normalised(text)), owner_of(n_chars, doc_id))
+                trie.insert(trie_key(normalised(text)), owner_of(n_chars, doc_id, hashlib.sha256(text).digest()))
                 while trie.size > trie_bytes:
                     for rows in _chunks(trie.spill()):
                         yield _owned(rows)
@@ -149,24 +150,24 @@ def duplicate_classes(docs: DataFrame, trie_bytes: int = 32 << 20) -> DataFrame:
     def merge(batches):
         trie, part, done = PatriciaTrie(), None, []
         for batch in few_rows(batches):
-            for key, norm, n_chars, doc_id, copies in zip(*(c.to_pylist() for c in batch.columns)):
+            for key, norm, n_chars, doc_id, digest, copies in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != part:
                     done.extend(_classes(trie))
                     part = key
-                trie.insert(norm, owner_of(n_chars, doc_id), copies)
+                trie.insert(norm, owner_of(n_chars, doc_id, digest), copies)
             yield _class_batch(done)
             done = []
         yield _class_batch([*_classes(trie)])
 
     texts = docs.select(F.col("doc_id").cast("long"), whole_text().alias("text"), F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"))
-    owned = texts.mapInArrow(pre_aggregate, "part binary, norm binary, n_chars long, doc_id long, copies long")
+    owned = texts.mapInArrow(pre_aggregate, "part binary, norm binary, n_chars long, doc_id long, digest binary, copies long")
     merged = owned.repartition("part").sortWithinPartitions("part")
-    return merged.mapInArrow(merge, "sha binary, keep_id long, keep_chars long, group_size long")
+    return merged.mapInArrow(merge, "sha binary, keep_id long, keep_digest binary, group_size long")
 
 
 def _classes(trie: PatriciaTrie):
     for norm, owner, copies in trie.drain():
-        yield hashlib.sha256(norm).digest(), None if owner[1] else owner[2], -owner[0], copies
+        yield hashlib.sha256(norm).digest(), None if owner[1] else owner[2], owner[3], copies
 
 
 def _class_batch(rows) -> pa.RecordBatch:
@@ -198,12 +199,8 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each normalised text, with all its columns: the one that ``exact_duplicates`` keeps.
 
-    That is decided for each row by its text, its length and its doc_id, so rows without an id, and other texts of
-    a repeated id, stay or go like all others. Of rows that agree in all three, one stays. Columns of any name pass.
+    That is decided for each row by its text and its doc_id, so rows without an id, and other texts of a repeated id,
+    stay or go like all others. Of rows that agree in both, one stays. Columns of any name pass.
     """
-    spaces = "".join(map(chr, WHITE_SPACE))
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = duplicate_classes(docs)
-    kept = found.select(F.lower(F.hex("sha")).alias("sha"), F.col("keep_chars").alias("n"), id_text(F.col("keep_id")).alias("id"))
-    keys = {"sha": F.sha2(F.translate(text, spaces, ""), 256), "n": F.char_length(text).cast("long"), "id": id_text(F.col("doc_id"))}
-    return one_row_each(docs, kept, keys)
+    kept = duplicate_classes(docs).select(F.lower(F.hex("keep_digest")).alias("digest"), id_text(F.col("keep_id")).alias("id"))
+    return one_row_each(docs, kept, {"digest": digest_of_text(), "id": id_text(F.col("doc_id"))})

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import connected_components, few_rows, id_text, one_row_each, whole_text, written
+from tidemark.llm.common import connected_components, digest_of_text, few_rows, id_text, one_row_each, whole_text, written
 
 BITS = 64
 #: Costs that weigh a probing row against a comparison of two fingerprints, in seconds.
@@ -61,10 +61,6 @@ def fingerprints(docs: DataFrame, shingle: int = 3, digest: bool = False) -> Dat
     return rows.mapInArrow(run, f"doc_id long, {'digest string, ' if digest else ''}fp long")
 
 
-def digest_of_text():
-    return F.sha2(whole_text(), 256)
-
-
 def bit_statistics(distinct: DataFrame) -> tuple[int, np.ndarray]:
     """The number of fingerprints, and how often each two bits are set together (64 x 64), over all of them."""
 

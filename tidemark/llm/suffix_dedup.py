@@ -31,7 +31,6 @@ import math
 import uuid
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -369,7 +368,9 @@ def chunked(batches, chunk_rows: int, chunk_bytes: int):
         yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
 
 
-def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024, chunk_bytes: int = 4 << 20, hot_phrases: int = HOT) -> DataFrame:
+def repeated_passages(
+    docs: DataFrame, length: int = 50, chunk_rows: int = 1024, chunk_bytes: int = 4 << 20, hot_phrases: int = HOT, as_text: bool = False
+) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, spans (array of start and end), kept (binary), rest (struct).
 
     ``spans`` are the maximal runs of bytes covered by strings of ``length`` bytes (17 to 79) that also start in a
@@ -378,7 +379,7 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
     other; rows with the same doc_id do not remove each other's text. The documents are written once, bucketed by
     chunk, so that no later step shuffles a text. ``chunk_rows`` and ``chunk_bytes`` bound a chunk, which one task
     holds; a longer text is a chunk of its own. Triggers with more than about ``hot_phrases`` phrases are compared
-    window by window.
+    window by window. With ``as_text``, ``kept`` is text, without the bytes of characters that are cut in two.
     """
     if not TRIGGER < length < TRIGGER + 64:
         raise ValueError(f"length must be {TRIGGER + 1} to {TRIGGER + 63}")
@@ -431,7 +432,8 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         found = pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], kind)
         sizes = pa.array([len(t) for t in texts], pa.int64())
-        return pa.table({"doc_id": table["doc_id"], "n_bytes": sizes, "spans": found, "kept": pa.array(kept, pa.binary()), "rest": table["rest"]})
+        kept = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+        return pa.table({"doc_id": table["doc_id"], "n_bytes": sizes, "spans": found, "kept": kept, "rest": table["rest"]})
 
     ids = stored.select("chunk", "doc_id", "text")
     first = ids.groupBy("chunk").applyInArrow(send_triggers, _SENT)
@@ -440,7 +442,8 @@ def repeated_passages(docs: DataFrame, length: int = 50, chunk_rows: int = 1024,
     second = written(second.groupBy("bucket").applyInArrow(find_earlier, _ANSWER))
     answers = first.unionByName(second)
     rest_type = stored.schema["rest"].dataType.simpleString()
-    out = f"doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary, rest {rest_type}"
+    kept_type = "string" if as_text else "binary"
+    out = f"doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept {kept_type}, rest {rest_type}"
     return stored.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(remove, out)
 
 
@@ -453,16 +456,11 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(text[a:b] for a, b in zip(ends, starts))
 
 
-@F.pandas_udf(T.StringType())
-def _whole_characters(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda data: data.decode("utf-8", "ignore"))
-
-
 def without_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     """All rows and columns of ``docs``, the text without passages of earlier documents.
 
     Bytes of a character that is cut in two are left out, so that the text stays UTF-8. A null text becomes empty.
     """
-    found = repeated_passages(docs, length)
-    text = _whole_characters("kept").alias("text")
+    found = repeated_passages(docs, length, as_text=True)
+    text = F.col("kept").alias("text")
     return found.select(*(text if c == "text" else F.col(f"rest.{quoted(c)}").alias(c) for c in docs.columns))
