@@ -444,6 +444,17 @@ def test_slots_have_no_gaps_over_ranges(spark, monkeypatch):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def test_a_repeated_id_is_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 100)
+    docs = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("x").alias("text"))
+    rows = sharding.sharded(docs, sharding.built(2, 2, 2)).collect()
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r["shard"]].append(r["slot"])
+    assert len(rows) == 3000 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({r["shard"] for r in rows if r["doc_id"] == 7}) == 1
+
+
 def test_weights_and_growth(spark):
     """Shares follow weights, and each of many additions takes rows only into itself, one after the other."""
     keys = spark.range(40000)

@@ -8,6 +8,8 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import written
+
 #: Documents of a shard that are numbered in one task, on average.
 SLOT_ROWS = 50_000
 
@@ -81,26 +83,32 @@ def sharded(docs: DataFrame, tree: Part, later: Part | None = None) -> DataFrame
     without it). The doc_id and the tree decide the shard; without a doc_id, the text does. ``slot`` numbers
     the documents of a shard from 0 without gaps, by a hash of the doc_id: each of several hash ranges numbers its own, and
     starts after the sum of those before, so that no task sees a whole shard. Rows that repeat a doc_id share
-    its shard and have slots of their own.
+    its shard and have slots of their own; where very many do, they are numbered in parts as well. An empty table
+    gives an empty result; other columns are not read.
     """
     text = F.coalesce("text", F.lit(""))
     key = F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.xxhash64("doc_id"))
-    shards = sum(1 for _ in _leaves(tree))
-    ranges = max(1, math.ceil(docs.count() / (shards * SLOT_ROWS)))
     rows = docs.select(
         F.col("doc_id").cast("long"), (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"), key.alias("_draw"),
     )
     after = shard_of(later, F.col("_draw")) if later else F.lit(None).cast("int")
     rows = rows.withColumns({"shard": shard_of(tree, F.col("_draw")), "grown_shard": after})
-    rows = rows.withColumn("_range", F.pmod(F.xxhash64(F.lit("slot"), "_draw"), F.lit(ranges)))
-    counts = rows.groupBy("shard", "_range").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("shard").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select("shard", "_range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    order = Window.partitionBy("shard", "_range").orderBy("_draw", "doc_id", "size", "text_crc32")
+    # written without the texts, which are read once; the numbers of the rows are fixed by that
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()))
+    shards = sum(1 for _ in _leaves(tree))
+    ranges = max(1, math.ceil(rows.count() / (shards * SLOT_ROWS)))
+    repeated = rows.groupBy("_draw").agg(F.ceil(F.count("*") / SLOT_ROWS).alias("_pieces")).where("_pieces > 1")
+    rows = rows.join(repeated, "_draw", "left")
+    part = {"_range": F.pmod(F.xxhash64(F.lit("slot"), "_draw"), F.lit(ranges)), "_piece": F.coalesce(F.pmod(F.xxhash64("_row"), "_pieces"), F.lit(0))}
+    rows, keys = rows.withColumns(part), ["shard", "_range", "_piece"]
+    counts = rows.groupBy(*keys).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("shard").orderBy("_range", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    order = Window.partitionBy(*keys).orderBy("_draw", "doc_id", "size", "text_crc32", "_row")
     numbered = rows.withColumn("nth", F.row_number().over(order))
     slot = (F.col("first") + F.col("nth") - 1).cast("long").alias("slot")
-    return numbered.join(counts, ["shard", "_range"]).select("doc_id", "size", "text_crc32", "shard", slot, "grown_shard")
+    return numbered.join(counts, keys).select("doc_id", "size", "text_crc32", "shard", slot, "grown_shard")
 
 
 def _leaves(part: Part):
