@@ -127,3 +127,12 @@ def test_a_salted_join_shuffles_the_small_side_only(spark, database):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(re.findall(r"\n\(\d+\) Exchange", text)) == 1
+
+
+def test_rejects_and_reasons_stay_in_generated_code(spark, sf_dir):
+    lines = contract._dirty_lines(spark, sf_dir)
+    columns = [(name, T.DataType.fromDDL(kind)) for name, kind in contract._LINE_TYPES.items()]
+    text = plan(conform.align(lines, columns, count_cut=True, keep_rejects=True, reasons=True))
+    assert "* Project" in text and not re.search(r"^[\s:+-]*Project", text, re.M)
+    # each value is cast once, whatever uses the result
+    assert all(text.count(f"try_cast({name}#") == 1 for name in ("l_linenumber", "l_quantity", "l_shipdate"))

@@ -84,14 +84,19 @@ def unmapped_columns(frame: DataFrame) -> list[str]:
     return [f.name for f in frame.schema.fields if not types.is_mapped(f.dataType)]
 
 
-def _misfit(field: T.StructField, to: T.DataType) -> Column | None:
-    """Whether a value has no counterpart in ``to``; None if that cannot happen."""
+def _misfit(field: T.StructField, to: T.DataType, cast: Column | None = None) -> Column | None:
+    """Whether a value has no counterpart in ``to``, which ``cast`` tells if it is known; None if that cannot happen."""
     value = column(field.name)
-    if isinstance(field.dataType, NESTED) and isinstance(to, SIZED_TEXT):
+    if _is_too_wide(field, to):
         return F.coalesce(F.octet_length(as_text(value, field.dataType)) > to.length, F.lit(False))
     if never_fails(field.dataType, to):
         return None
-    return value.isNotNull() & conformed(value, field.dataType, to).isNull()
+    return value.isNotNull() & (conformed(value, field.dataType, to) if cast is None else cast).isNull()
+
+
+def _is_too_wide(field: T.StructField, to: T.DataType) -> bool:
+    """Whether the width of a value, not its cast, decides if it fits."""
+    return isinstance(field.dataType, NESTED) and isinstance(to, SIZED_TEXT)
 
 
 Matched = list[tuple[str, T.DataType, T.StructField | None]]
@@ -110,9 +115,12 @@ def _matched(frame: DataFrame, columns: Columns, broken: str | None = None) -> M
     return [(name, to, fields.get(name.lower())) for name, to in columns]
 
 
-def _misfits(matched: Matched) -> list[tuple[str, Column, Column, str]]:
+Casts = dict[str, Column]
+
+
+def _misfits(matched: Matched, casts: Casts) -> list[tuple[str, Column, Column, str]]:
     """(column, whether a value has no counterpart, the value as text, the type wanted) where that can happen."""
-    found = [(name, _misfit(field, to), field, to) for name, to, field in matched if field is not None]
+    found = [(name, _misfit(field, to, casts.get(name)), field, to) for name, to, field in matched if field is not None]
     return [
         (name, misfit, as_text(column(field.name), field.dataType), to.simpleString())
         for name, misfit, field, to in found
@@ -120,27 +128,44 @@ def _misfits(matched: Matched) -> list[tuple[str, Column, Column, str]]:
     ]
 
 
-def _rejected(matched: Matched, broken: str | None = None) -> Column | None:
-    misfits = [misfit for _, misfit, _, _ in _misfits(matched)]
+def _rejected(matched: Matched, broken: str | None = None, casts: Casts | None = None) -> Column | None:
+    misfits = [misfit for _, misfit, _, _ in _misfits(matched, casts or {})]
     misfits += [column(broken).isNotNull()] if broken else []
     return reduce(or_, misfits) if misfits else None
 
 
-def _reasons(matched: Matched, broken: str | None = None) -> Column:
-    """Why a row is rejected: each column with a misfit, its value and the type it should have."""
-    found = [
-        F.when(misfit, F.struct(F.lit(name).alias("column"), value.alias("value"), F.lit(wanted).alias("wanted")))
-        for name, misfit, value, wanted in _misfits(matched)
-    ]
+def _reasons(matched: Matched, broken: str | None, casts: Casts) -> Column:
+    """Why a row is rejected: each column with a misfit, its value and the type it should have.
+
+    Arrays of one reason are joined: a filter over all of them would leave the generated code.
+    """
+
+    def reason(misfit: Column, name: str, value: Column, wanted: str) -> Column:
+        one = F.array(F.struct(F.lit(name).alias("column"), value.alias("value"), F.lit(wanted).alias("wanted")))
+        return F.when(misfit, one).otherwise(F.expr("array()").cast(REASON_TYPE))
+
+    found = [reason(misfit, name, value, wanted) for name, misfit, value, wanted in _misfits(matched, casts)]
     if broken:
-        line = F.struct(F.lit(broken).alias("column"), F.lit(None).cast("string").alias("value"), F.lit(A_RECORD).alias("wanted"))
-        found.append(F.when(column(broken).isNotNull(), line))
-    return F.filter(F.array(*found), lambda reason: reason.isNotNull())
+        found.append(reason(column(broken).isNotNull(), broken, F.lit(None).cast("string"), A_RECORD))
+    return F.concat(*found)
 
 
 def fallible_columns(frame: DataFrame, columns: Columns, broken: str | None = None) -> list[str]:
     """The columns whose values can be a reason to reject a row."""
-    return [name for name, *_ in _misfits(_matched(frame, columns, broken))] + ([broken] if broken else [])
+    return [name for name, *_ in _misfits(_matched(frame, columns, broken), {})] + ([broken] if broken else [])
+
+
+def _with_casts(frame: DataFrame, matched: Matched) -> tuple[DataFrame, Casts]:
+    """The frame with the casts that can fail as columns, each done once for the value, the flag and the reason."""
+    prefix = "_as"
+    while any(name.startswith(prefix) for name in frame.columns):
+        prefix += "_"
+    selected, casts = [], {}
+    for i, (name, to, field) in enumerate(matched):
+        if field is not None and not _is_too_wide(field, to) and not never_fails(field.dataType, to):
+            casts[name] = F.col(f"{prefix}{i}")
+            selected.append(conformed(column(field.name), field.dataType, to).alias(f"{prefix}{i}"))
+    return (frame.select(*[column(name) for name in frame.columns], *selected) if selected else frame), casts
 
 
 def _cut(matched: Matched) -> Column | None:
@@ -170,20 +195,21 @@ def align(
     JSON of a nested value, which would be broken. A row is also rejected where the column ``broken``, which is
     not part of the target, has a line that is no record; that line is then kept as it came.
     """
-    matched = _matched(frame, columns, broken)
+    matched, own = _matched(frame, columns, broken), frame.columns
+    frame, casts = _with_casts(frame, matched)
     selected = [
         F.lit(None).cast(T.StringType() if isinstance(to, SIZED_TEXT) else to).alias(name)
         if field is None
-        else conformed(column(field.name), field.dataType, to).alias(name)
+        else casts.get(name, conformed(column(field.name), field.dataType, to)).alias(name)
         for name, to, field in matched
     ]
-    rejected = _rejected(matched, broken)
+    rejected = _rejected(matched, broken, casts)
     if rejected is not None:
         selected.append(rejected.alias(REJECTED))
         if reasons:
-            selected.append(F.when(rejected, _reasons(matched, broken)).alias(REASONS))
+            selected.append(F.when(rejected, _reasons(matched, broken, casts)).alias(REASONS))
         if keep_rejects:
-            whole = F.to_json(F.struct(*(column(n) for n in frame.columns if n != broken)), {"ignoreNullFields": "false"})
+            whole = F.to_json(F.struct(*(column(n) for n in own if n != broken)), {"ignoreNullFields": "false"})
             whole = F.coalesce(column(broken), whole) if broken else whole
             selected.append(F.when(rejected, whole).alias(RECORD))
     cut = _cut(matched) if count_cut else None

@@ -599,7 +599,7 @@ class Target:
 
 
 def _is_reason(name: str) -> Column:
-    return F.exists(REASONS, lambda reason: reason["column"] == name)
+    return F.array_contains(column(REASONS)["column"], name)
 
 
 def _widened(old: Columns, wanted: Columns, strict: bool) -> Columns:

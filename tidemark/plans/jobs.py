@@ -376,18 +376,12 @@ def load_files(
     """
     spark, report, most = target.spark, [], max(files_at_a_time, 1)
     listed = manifest.listing(spark, paths, recursive, pattern)
-    changed = manifest.changed_files(listed, target.files())
-    if changed:
-        raise changed
     while files := manifest.new_files(listed, target.files(), most):
         frame, broken = manifest.read_files(spark, [path for path, _, _ in files], schema, file_format, options)
         pending = target.prepare_append(frame, key, columns=columns, max_errors=max_errors, broken=broken)
         try:
             pending = target.with_files(pending, files)
-            read = spark.createDataFrame(files, manifest.FILES)
-            changed = manifest.changed_files(manifest.listing(spark, paths, recursive, pattern), read)
-            if changed:
-                raise changed
+            manifest.check_unchanged(manifest.listing(spark, paths, recursive, pattern), files)
         except Exception:
             pending.discard()
             raise

@@ -15,11 +15,11 @@ FILES = "path string, length bigint, modified bigint"
 
 
 class ChangedFiles(RuntimeError):
-    """Files that were loaded, or are being read, are not what they were; ``paths`` has some of them."""
+    """Files that were loaded, or are being read, are not what they were; ``paths`` has them."""
 
-    def __init__(self, paths: list[str], count: int):
-        more = f" and {count - len(paths)} more" if count > len(paths) else ""
-        super().__init__(f"files changed after they were loaded: {', '.join(paths)}{more}")
+    def __init__(self, paths: list[str], shown: int = 10):
+        more = f" and {len(paths) - shown} more" if len(paths) > shown else ""
+        super().__init__(f"files changed after they were loaded: {', '.join(paths[:shown])}{more}")
         self.paths = paths
 
 
@@ -31,22 +31,26 @@ def listing(spark: SparkSession, paths: str | list[str], recursive: bool = True,
     return reader.load(paths).select("path", "length", F.unix_micros("modificationTime").alias("modified"))
 
 
-def changed_files(listed: DataFrame, known: DataFrame, shown: int = 10) -> ChangedFiles | None:
-    """An error that names the files whose length or time is not the one in the manifest; None if all are as known.
+def new_files(listed: DataFrame, known: DataFrame, most: int) -> list[tuple]:
+    """The first ``most`` files that are not known, oldest first, as (path, length, modified).
 
-    Files that are known but no longer listed are no change: what was loaded stays.
+    A file whose length or time is not the one in the manifest is an error that names it. Files that are known but
+    no longer listed are no change: what was loaded stays.
     """
     before = known.select("path", F.col("length").alias("_length"), F.col("modified").alias("_modified"))
-    differs = (F.col("length") != F.col("_length")) | (F.col("modified") != F.col("_modified"))
-    changed = listed.join(before, "path").where(differs)
-    first = changed.select("path").orderBy("path").limit(shown).collect()
-    return ChangedFiles([row.path for row in first], changed.count()) if first else None
-
-
-def new_files(listed: DataFrame, known: DataFrame, most: int) -> list[tuple]:
-    """The first ``most`` files that are not known, oldest first, as (path, length, modified)."""
-    fresh = listed.join(known.select("path"), "path", "left_anti")
-    return [tuple(row) for row in fresh.select("path", "length", "modified").orderBy("modified", "path").limit(most).collect()]
+    changed = (F.col("length") != F.col("_length")) | (F.col("modified") != F.col("_modified"))
+    found = listed.join(before, "path", "left").select("path", "length", "modified", F.coalesce(changed, F.lit(False)).alias("changed"), "_length")
+    # the changed ones first, so that one job tells both
+    rows = found.where("changed OR _length IS NULL").orderBy(F.desc("changed"), "modified", "path").limit(most).collect()
+    if rows and rows[0].changed:
+        raise ChangedFiles(sorted(row.path for row in rows if row.changed))
+    return [(row.path, row.length, row.modified) for row in rows]
+
+
+def check_unchanged(listed: DataFrame, files: list[tuple]) -> None:
+    """An error if files are listed with another length or time than when they were chosen."""
+    read = listed.sparkSession.createDataFrame(files, FILES)
+    new_files(listed.join(read.select("path"), "path", "left_semi"), read, 1)
 
 
 def read_files(
