@@ -36,24 +36,34 @@ def share_kept(depths: tuple[int, ...], op: str, bound: int) -> float:
     return min((i - 1 + (bound - low) / max(high - low, 1)) / steps, 1.0)
 
 
-def column_of(value: Column, kind: T.DataType) -> Column:
-    """Count, range and distinct values of a column: an aggregate, as JSON."""
+def distinct_of(value: Column, kind: T.DataType) -> Column:
+    """A sketch of the distinct values of a column: an aggregate, in Base64."""
     if isinstance(kind, T.IntegralType):
         counted = value.cast("bigint")
     elif isinstance(kind, (T.StringType, T.VarcharType, T.CharType, T.BinaryType)):
         counted = value
-    else:
-        counted = value.cast("string")
+    else:  # a hash tells values apart as well as their text, and costs less
+        counted = F.when(value.isNotNull(), F.xxhash64(value))
+    return F.base64(F.hll_sketch_agg(counted, F.lit(HLL_BITS)))
+
+
+def column_of(value: Column, kind: T.DataType) -> Column:
+    """Count, range and distinct values of a column: an aggregate, as JSON."""
     return F.to_json(
         F.struct(
             F.count(value).alias("n"),
             F.min(value).cast("string").alias("low"),
             F.max(value).cast("string").alias("high"),
-            F.base64(F.hll_sketch_agg(counted, F.lit(HLL_BITS))).alias("distinct"),
+            distinct_of(value, kind).alias("distinct"),
         )
     )
 
 
+def as_column(n: int, low: int | None, high: int | None, distinct: str) -> str:
+    """What ``column_of`` gives, for a key whose count and range are known."""
+    return json.dumps({"n": n, "low": None if low is None else str(low), "high": None if high is None else str(high), "distinct": distinct})
+
+
 def can_sketch(kind: T.DataType) -> bool:
     return isinstance(kind, (T.NumericType, T.StringType, T.VarcharType, T.CharType, T.DateType, T.TimestampType, T.TimestampNTZType))
 

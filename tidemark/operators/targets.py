@@ -482,7 +482,9 @@ class Target:
             metrics.append(sketches.depths_of(value.try_cast("bigint")).alias("depths"))
         tracked = [key, layout.dist_key, *layout.sort_key] if analyze is None else analyze
         kinds = {name: kind for name, kind in columns if name in tracked and sketches.can_sketch(kind)}
-        metrics += [sketches.column_of(valid(name), kind).alias(f"of {name}") for name, kind in kinds.items()]
+        for name, kind in kinds.items():  # the key's count and range are observed anyway
+            seen_of = sketches.distinct_of if ranged and name == key else sketches.column_of
+            metrics.append(seen_of(valid(name), kind).alias(f"of {name}"))
         if layout.salted:
             metrics.append(skew.frequent(valid(layout.dist_key)).alias("frequent"))
         observation = Observation()
@@ -502,8 +504,12 @@ class Target:
             if max_errors is not None and seen["n_rejects"] >= max_errors:
                 refused = kept
                 raise TooManyRejects(f"{seen['n_rejects']} rows do not fit {self.name}, limit {max_errors}", by_column)
+            low, high = (_whole(seen["low"]), _whole(seen["high"])) if ranged else (None, None)
             if kinds:
-                texts = json.dumps({name: seen[f"of {name}"] for name in kinds})
+                found = {name: seen[f"of {name}"] for name in kinds}
+                if ranged and key in found:
+                    found[key] = sketches.as_column(seen["n_keys"], low, high, found[key])
+                texts = json.dumps(found)
                 self.spark.sql(f"ALTER TABLE {self._qualified(segment)} SET TBLPROPERTIES ({sql_string(OBSERVED)} = {sql_string(texts)})")
         except Exception:
             if refused:
@@ -511,7 +517,6 @@ class Target:
             else:
                 self._drop(segment)
             raise
-        low, high = (_whole(seen["low"]), _whole(seen["high"])) if ranged else (None, None)
         keyed = ranged and seen["n_keys"] == seen["n_rows"]
         written = Segment(
             segment,

@@ -386,6 +386,8 @@ def load_files(
             pending.discard()
             raise
         report.append((*_ok(target.table, pending.publish()), len(files)))
+        if len(files) < most:
+            break  # those were all that the listing has
     return spark.createDataFrame(report or [(*_ok(target.table, Loaded(0, 0, None)), 0)], f"{REPORT}, n_files bigint")
 
 
